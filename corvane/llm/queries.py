@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from corvane.llm import exact_dedup
+from corvane.llm import bpe, exact_dedup, quality_rules
 
 QUERIES = {
+    "op5_bpe": bpe.op5_bpe,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_quality_rules": quality_rules.op7_quality_rules,
 }
 
 ORACLES = {
