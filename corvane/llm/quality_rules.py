@@ -24,10 +24,10 @@ STEPS = 4
 MIN_ROWS = 200
 BINS, MAX_BIN = 64, 4095
 #: The statistics, and the least standard deviation of each.
-FLOORS = {"v_length": 0.10, "v_symbols": 0.50, "v_upper": 0.40, "v_punct": 0.40, "v_repeat": 0.60, "v_lines": 0.60}
+FLOORS = {"v_length": 0.10, "v_symbols": 0.40, "v_upper": 0.35, "v_punct": 0.40, "v_repeat": 1.0, "v_lines": 1.2}
 #: Median of the chi-squared distribution with as many degrees of freedom as statistics, for consistency at the normal.
 CHI2_MEDIAN = 5.348
-CUTOFF = 60.0
+CUTOFF = 30.0
 
 STATS = list(FLOORS)
 
@@ -92,7 +92,7 @@ def _start(rows: DataFrame) -> DataFrame:
     out = bins.groupBy("_group").agg(*(q(p, k).alias(f"_q{k}_{int(p * 100)}") for k in range(len(STATS)) for p in (0.25, 0.5, 0.75)))
     mu = [F.col(f"_q{k}_50").alias(f"_m{k}") for k in range(len(STATS))]
     cov = [F.pow((F.col(f"_q{i}_75") - F.col(f"_q{i}_25")) / 1.349, 2).alias(f"_c{i}{j}") if i == j else F.lit(0.0).alias(f"_c{i}{j}") for i in range(len(STATS)) for j in range(i + 1)]
-    return bins.sparkSession.createDataFrame([], "x int") if not STATS else out.select("_group", *mu, *cov, F.lit(1.0).alias("_scale"))
+    return out.select("_group", *mu, *cov, F.lit(1.0).alias("_scale"))
 
 
 def _factor(est: DataFrame) -> DataFrame:
