@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from corvane.llm.common import ship, table
+from corvane.llm.common import PLAIN, ship, table
 
 SHORT = 64
 CACHE_WORDS = 250_000
@@ -52,8 +52,7 @@ class WordBPE:
         self.split_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
         pattern = j["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern)
-        #: The same pattern over texts whose only letters and numbers are those of Latin-1 and Latin Extended-A and -B.
-        self.plain = re.compile("[^\x00-\xa9\xab-\xb1\xb4-\xb8\xbb\xbf-ɏ - ‐-‧‰-⁞]")
+        self.plain = PLAIN  # over texts in which this finds nothing, the next pattern is the same as the one above
         self.plain_words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+") if pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" else None
         symbols = byte_symbols()
         self.inner = np.array([self.vocab[s] for s in symbols], np.int32)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -13,6 +14,10 @@ from pyspark.sql import functions as F
 WS = r"[\x20\x09-\x0D]+"
 WS_CHARS = " \t\n\x0b\x0c\r"
 
+#: Finds a character outside those whose classes (letter, number, space) are the same to `re` and to the patterns of
+#: vocabularies: Latin-1 and Latin Extended-A and -B without superscripts, fractions and ordinals, general punctuation.
+PLAIN = re.compile("[^\x00-\x1b\x20-\xa9\xab-\xb1\xb4-\xb8\xbb\xbf-\u024f\u2010-\u2027\u2030-\u205e]")
+
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 

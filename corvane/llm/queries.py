@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from corvane.llm import bpe, exact_dedup, quality_rules
+from corvane.llm import bpe, exact_dedup, packing, quality_rules
 
 QUERIES = {
+    "op2_packing": packing.op2_packing,
     "op5_bpe": bpe.op5_bpe,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
