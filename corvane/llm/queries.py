@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from corvane.llm import bpe, exact_dedup, packing, quality_rules
+from corvane.llm import bpe, exact_dedup, language_id, packing, quality_classifier, quality_rules
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
+    "op4_quality_classifier": quality_classifier.op4_quality_classifier,
     "op2_packing": packing.op2_packing,
     "op5_bpe": bpe.op5_bpe,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
