@@ -23,6 +23,8 @@ STEPS = 4
 #: Groups of fewer rows are pooled by language, then with all others; too few of those have no estimate and stay.
 MIN_ROWS = 200
 BINS, MAX_BIN = 64, 4095
+#: Estimates (about 300 bytes each) are broadcast up to so many groups, and joined by a shuffle beyond.
+BROADCAST_GROUPS = 20_000
 #: The statistics, and the least standard deviation of each.
 FLOORS = {"v_length": 0.10, "v_symbols": 0.40, "v_upper": 0.35, "v_punct": 0.40, "v_repeat": 1.0, "v_lines": 1.2}
 #: Median of the chi-squared distribution with as many degrees of freedom as statistics, for consistency at the normal.
@@ -108,8 +110,12 @@ def _factor(est: DataFrame) -> DataFrame:
 
 
 def _distance(rows: DataFrame, est: DataFrame) -> DataFrame:
-    """rows with _d2, the squared Mahalanobis distance under their group's estimate; null without one."""
-    rows = rows.join(_factor(est), "_group", "left")
+    """rows with _d2, the squared Mahalanobis distance under their group's estimate; null without one.
+
+    est is a written table: where it has few groups it is broadcast, so that a hot group stays dealt out as it was read.
+    """
+    small = est.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    rows = rows.join(F.broadcast(_factor(est)) if small else _factor(est), "_group", "left")
     for i, v in enumerate(STATS):
         y = F.col(v) - F.col(f"_m{i}")
         for k in range(i):
@@ -158,7 +164,7 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for k in range(STEPS):
         est = cuts.cut(_step(good, est), f"quality-step-{k}")
     enough = good.groupBy("_group").agg(F.count("*").alias("c")).where(F.col("c") >= MIN_ROWS).select("_group")
-    judged = _distance(good, est.join(enough, "_group", "left_semi"))
+    judged = _distance(good, cuts.cut(est.join(enough, "_group", "left_semi"), "quality-estimates"))
     columns = [F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = judged.select(*columns, F.coalesce(F.col("_d2") <= cutoff, F.lit(True)).alias("kept"), F.col("_d2").alias("distance"))
     return judged.unionByName(rows.where("base_failed").select(*columns, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance")))
