@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corvane.llm import bpe, exact_dedup, html_text, language_id, packing, quality_classifier, quality_rules, suffix_dedup
+from corvane.llm import bpe, exact_dedup, html_text, language_id, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_bpe": bpe.op5_bpe,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_html_text": html_text.op10_html_text,
 }
