@@ -46,6 +46,9 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Cuts:
     """Tables written in the shared folder to cut lineage, each deletable once what needs it has been written."""
 
@@ -53,8 +56,14 @@ class Cuts:
         self.spark, self.paths = spark, {}
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
+        """df as a table in the shared folder. What was shuffled for it is deleted, as the table takes its place."""
         self.paths[name] = path = new_dir(self.spark, name)
-        df.write.parquet(path)
+        was = self.spark.conf.get(SHUFFLES)
+        self.spark.conf.set(SHUFFLES, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(SHUFFLES, was)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -7,12 +7,12 @@ shuffle many times the corpus, so suffixes are sampled in a way that loses none:
    anchor at the same place, and neighbouring windows mostly share one, so a text has an anchor every fifty bytes or so. Only
    windows whose anchor occurs twice or more in the corpus can be repeated. Those anchors reach the next scan as a bitmap
    of fixed size, which can only let too much through.
-2. Windows are taken in blocks of BLOCK that are aligned to their anchor. The bytes that all windows of a block share are
+2. Windows are taken in blocks of 32 that are aligned to their anchor. The bytes that all windows of a block share are
    the leading token of its suffix, the bytes that they cover together the rest. Suffixes are range-partitioned by
    these tokens with sampled splitters, each bucket is sorted by a multikey quicksort that looks at the next token only where
    tokens tie, and each suffix is compared with its neighbours, across the boundaries of buckets too. If the whole
    is repeated so is every window; if the leading token is unique no window is.
-3. What lies between (a passage that begins or ends in the block) is sorted once more, window by window.
+3. What lies between (a passage that begins or ends in the block) is taken in blocks of 8, and then window by window.
 
 Splitters include the place of a suffix, so a passage of any number of copies is dealt over as many buckets as it fills.
 A token is the 64-bit polynomial hash of its bytes. Texts are known by two hashes of their bytes (96 bits).
@@ -29,7 +29,7 @@ from corvane.llm.common import Cuts, ship, table, whole
 
 LENGTH = 200
 GRAM = 96
-BLOCK = 32
+LEVELS = (32, 8, 1)
 CHUNK = 1 << 19
 BITS = 1 << 28
 ROWS_A_BUCKET = 1_000_000
@@ -92,12 +92,12 @@ def runs(raw: np.ndarray, bounds: np.ndarray, length: int, gram: int):
     ends = bounds[1:]
     for c0 in range(0, len(raw), CHUNK):
         c1 = min(len(raw), c0 + CHUNK)
-        lo, hi = max(0, c0 - 2 * BLOCK), min(len(raw), c1 + length + 2 * BLOCK)
+        lo, hi = max(0, c0 - 2 * LEVELS[0]), min(len(raw), c1 + length + 2 * LEVELS[0])
         first = max(0, c0 - 1)
-        n = min(c1 + BLOCK, hi - length + 1) - first  # windows that begin from `first` on
+        n = min(c1 + LEVELS[0], hi - length + 1) - first  # windows that begin from `first` on
         if n <= 0:
             continue
-        h = Hashes(raw[lo:hi], length + BLOCK)
+        h = Hashes(raw[lo:hi], length + LEVELS[0])
         valid = np.ones(n, bool)
         for e in ends[np.searchsorted(ends, first, "right") :].tolist():
             if e - length + 1 >= first + n:
@@ -136,32 +136,45 @@ def _has(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def blocks(raw: np.ndarray, bounds: np.ndarray, bitmap: np.ndarray, length: int, gram: int):
-    """For each chunk: hashes, their first place, and of each block with a repeated anchor the text, start, leading
-    token, whole, and the first and last of its windows that have this anchor."""
+def blocks(raw: np.ndarray, bounds: np.ndarray, bitmaps: list[np.ndarray], length: int, gram: int):
+    """For each chunk: of each block with a repeated anchor the text, start, leading token, whole, and whether the whole is
+    in the text. The first bitmap is that of anchors; each further one takes those blocks whose leading token it has apart
+    into blocks of the next level."""
     for c0, c1, h, lo, t0, t1, a, text in runs(raw, bounds, length, gram):
-        k = np.flatnonzero(_has(bitmap, h.at(a - lo, gram)))
+        k = np.flatnonzero(_has(bitmaps[0], h.at(a - lo, gram)))
         if not len(k):
             continue
-        t0, t1, a, text = t0[k], t1[k], a[k], text[k]
-        number, row = _spread((a - t1) // BLOCK, (a - t0) // BLOCK)
-        start = a[row] - BLOCK * number - BLOCK + 1
-        own = np.maximum(start, t0[row])  # a block is that of the chunk in which its first window is
-        own = np.flatnonzero((own >= c0) & (own < c1))
-        row, start, number = row[own], start[own], number[own]
-        if not len(row):
+        t0, t1, a, text, size = t0[k], t1[k], a[k], text[k], LEVELS[0]
+        number, row = _spread((a - t1) // size, (a - t0) // size)
+        start = a[row] - size * number - size + 1
+        t0, t1, text = np.maximum(start, t0[row]), np.minimum(start + size - 1, t1[row]), text[row]
+        own = np.flatnonzero((t0 >= c0) & (t0 < c1))  # a block is that of the chunk in which its first window is
+        start, number, t0, t1, text = start[own], number[own], t0[own], t1[own], text[own]
+        lead = _lead(h, start - lo, number, size, length)
+        for bitmap, part in zip(bitmaps[1:], LEVELS[1:]):
+            k = np.flatnonzero(_has(bitmap, lead))
+            j, row = _spread(np.zeros(len(k), np.int64), np.full(len(k), size // part - 1))
+            row = k[row]
+            start, number, text = start[row] + part * j, number[row] * (size // part) + j, text[row]
+            t0, t1, size = np.maximum(start, t0[row]), np.minimum(start + part - 1, t1[row]), part
+            own = np.flatnonzero(t0 <= t1)
+            start, number, t0, t1, text = start[own], number[own], t0[own], t1[own], text[own]
+            lead = _lead(h, start - lo, number, size, length)
+        if not len(start):
             continue
-        # with the number, as the blocks of two anchors can begin at one place
-        lead = _mix(h.at(start + BLOCK - 1 - lo, length - BLOCK + 1) + number.astype(np.uint64) * np.uint64(BASE))
-        fits = (start >= bounds[text[row]]) & (start + length + BLOCK - 1 <= bounds[text[row] + 1])
-        full = h.at(np.where(fits, start, t0[row]) - lo, length + BLOCK - 1) if fits.all() else _whole_where(h, start - lo, fits, length)
-        yield h, lo, text[row], start, lead, full, fits, np.maximum(start, t0[row]), np.minimum(start + BLOCK - 1, t1[row])
+        if size == 1:
+            yield text, start, lead, lead, np.ones(len(start), bool)
+            continue
+        fits = (start >= bounds[text]) & (start + length + size - 1 <= bounds[text + 1])
+        full = np.zeros(len(start), np.uint64)
+        full[fits] = h.at(start[fits] - lo, length + size - 1)
+        yield text, start, lead, full, fits
 
 
-def _whole_where(h: Hashes, start: np.ndarray, fits: np.ndarray, length: int) -> np.ndarray:
-    out = np.zeros(len(start), np.uint64)
-    out[fits] = h.at(start[fits], length + BLOCK - 1)
-    return out
+def _lead(h: Hashes, at: np.ndarray, number: np.ndarray, size: int, length: int) -> np.ndarray:
+    """The token of the bytes that all windows of a block share; with its number from the anchor, as blocks of two anchors can
+    begin at one place."""
+    return _mix(h.at(at + size - 1, length - size + 1) + number.astype(np.uint64) * np.uint64(BASE))
 
 
 def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
@@ -238,7 +251,7 @@ def _bitmap(hashes: DataFrame, column: str, bits: int):
 
 def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, bits: int = BITS) -> DataFrame:
     """(text, check, spans): for each distinct text of df with repeated strings, its hashes and the spans to remove, in
-    bytes, from the first to past the last; they may overlap."""
+    bytes, from the first to past the last; they may overlap, and pass the ends of a text that others equal."""
     ship(df.sparkSession)
     texts = df.where(F.octet_length(text_col) >= length).select(F.xxhash64(text_col).alias("text"), F.hash(text_col).alias("check"), F.col(text_col).alias("t"))
 
@@ -247,45 +260,40 @@ def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: in
             for _, _, h, lo, _, _, a, _ in runs(*_buffer(b.column(0)), length, gram):
                 yield pa.RecordBatch.from_arrays([pa.array(h.at(a - lo, gram).view(np.int64))], names=["h"])
 
-    twice = texts.select("t").mapInArrow(anchors, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    known = _bitmap(twice, "h", bits)
-
-    def rows(b, text, start, bounds, lead, full):
-        k1, k2 = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64)
-        place = (k2[text] << 32) | (start - bounds[text] + BLOCK)
-        return pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64)), pa.array(full.view(np.int64)), pa.array(k1[text]), pa.array(place)], names=["lead", "whole", "text", "place"])
-
-    def by_block(batches):
-        for b in batches:
-            raw, bounds = _buffer(b.column(2))
-            for _, _, text, start, lead, full, fits, _, _ in blocks(raw, bounds, known.value, length, gram):
-                alone = _mix(np.random.default_rng(len(start)).integers(0, 1 << 63, len(start), dtype=np.uint64) ^ b.column(0).to_numpy()[text].view(np.uint64) ^ start.astype(np.uint64))
-                yield rows(b, text, start, bounds, lead, np.where(fits, full, alone))
-
-    found = cuts.cut(texts.select("text", "check", "t").mapInArrow(by_block, ROW), "suffix-blocks")
-    found = repeated(found, cuts, "suffix-blocks-sorted")
-    cuts.drop("suffix-blocks")
-    open_ = _bitmap(found.where("not whole_twice"), "lead", bits // 4)
-
-    def by_window(batches):
-        for b in batches:
-            raw, bounds = _buffer(b.column(2))
-            for h, lo, text, start, lead, _, _, t0, t1 in blocks(raw, bounds, known.value, length, gram):
-                k = np.flatnonzero(_has(open_.value, lead))
-                if len(k):
-                    t, row = _spread(t0[k], t1[k])
-                    yield rows(b, text[k][row], t, bounds, h.at(t - lo, gram), h.at(t - lo, length))
-
-    windows = cuts.cut(texts.select("text", "check", "t").mapInArrow(by_window, ROW), "suffix-windows")
-    windows = repeated(windows, cuts, "suffix-windows-sorted")
-    cuts.drop("suffix-windows")
-    start = F.expr("cast(place & 4294967295 as bigint)") - BLOCK
-    spans = found.where("whole_twice").select("text", "place", start.alias("a"), (start + length + BLOCK - 1).alias("b")).union(windows.where("whole_twice").select("text", "place", start.alias("a"), (start + length).alias("b")))
+    twice = texts.select("t").mapInArrow(anchors, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    bitmaps = [_bitmap(cuts.cut(twice, "suffix-anchors"), "h", bits)]
+    cuts.drop("suffix-anchors")
+    spans = None
+    for level, size in enumerate(LEVELS):
+
+        def rows(batches):
+            known = [x.value for x in bitmaps]
+            for b in batches:
+                raw, bounds = _buffer(b.column(2))
+                k1, k2 = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64)
+                for text, start, lead, full, fits in blocks(raw, bounds, known, length, gram):
+                    if not fits.all():  # a whole that is not in the text is equal to none
+                        alone = np.flatnonzero(~fits)
+                        full[alone] = _mix(_mix(k1[text[alone]].view(np.uint64)) + (start[alone] - bounds[text[alone]]).astype(np.uint64) * np.uint64(BASE))
+                    place = (k2[text] << 32) | (start - bounds[text] + LEVELS[0])
+                    yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64)), pa.array(full.view(np.int64)), pa.array(k1[text]), pa.array(place)], names=["lead", "whole", "text", "place"])
+
+        name = f"suffix-level-{level}"
+        found = cuts.cut(texts.select("text", "check", "t").mapInArrow(rows, ROW), name)
+        found = repeated(found, cuts, f"{name}-sorted")
+        cuts.drop(name)
+        start = F.expr("cast(place & 4294967295 as bigint)") - LEVELS[0]
+        done = found.where("whole_twice").select("text", F.shiftright("place", 32).cast("int").alias("check"), start.alias("a"), (start + length + size - 1).alias("b"))
+        spans = done if spans is None else spans.union(done)
+        if size > 1:
+            bitmaps.append(_bitmap(found.where("not whole_twice"), "lead", bits // 4))
     # copies of a text give the same spans
-    return spans.groupBy("text", F.shiftright("place", 32).cast("int").alias("check")).agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    return spans.groupBy("text", "check").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def merged(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+    """The spans in order, joined where they meet or overlap, within a text of `size` bytes."""
+    spans = [(max(0, a), min(b, size)) for a, b in spans]
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
         if out and a <= out[-1][1]:
@@ -304,7 +312,7 @@ def _cut_out(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def without_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, bits: int = BITS) -> DataFrame:
-    """df with the text's UTF-8 bytes in `raw`, merged spans to remove as array<struct<a, b>> in `spans` (empty where there are none).
+    """df with the text's UTF-8 bytes in `raw`, spans to remove (for merged()) as array<struct<a, b>> in `spans` (empty where there are none).
 
     Every byte covered by a string of `length` bytes that also starts anywhere else is in a span: in any row, or
     elsewhere in the same one. So rows with equal texts of `length` bytes or more lose all of them, shorter texts none.
@@ -339,7 +347,7 @@ def op9_suffix_dedup(spark, sf_dir):
         for b in batches:
             n, removed, count, sha = [], [], [], []
             for raw, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                spans = merged([(s["a"], s["b"]) for s in spans])
+                spans = merged([(s["a"], s["b"]) for s in spans], len(raw))
                 n.append(len(raw))
                 removed.append(sum(b - a for a, b in spans))
                 count.append(len(spans))
