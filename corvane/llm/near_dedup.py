@@ -3,11 +3,17 @@
 Each permutation of the shingle hashes gives its minimum and its maximum, so a signature takes half the evaluations of
 one of minima alone; both match with the probability of the similarity. Bands of signature values make buckets.
 
-Texts with one shingle set are one class. Classes that share a bucket are compared through leaders: in each round every
-bucket that still holds more than one component deals out a few members (1, then eight times as many each round), which
-are compared with the bucket's members of other components on full sets, and leave it. Rounds end when no bucket is left, so
-each pair that shares a bucket has been compared or is in one component by then; large groups of near copies join after one
-or two rounds, in pairs that grow with the members and not with their square. Nothing but counts comes to the driver.
+Texts with one shingle set are one class. Classes that share a bucket are compared with its pivot, the class of its surroundings
+that shares the most buckets with others, in pairs that grow with the members and not with their square. In a bucket
+that then still holds more than one component, two members can be similar in two ways only:
+
+- they share a shingle outside the pivot's set: members go into a new, much smaller bucket for each such shingle, and
+  those are treated in the same way (with a member as pivot, and what is outside all pivots so far), level after level,
+  until no bucket of several components is left;
+- they share shingles of the pivots only, so no more than the smaller of the two numbers that each has of these: where that
+  allows the similarity at all, the pair is compared.
+
+So no pair of a bucket is passed over, and no bucket has all of its pairs compared. Only counts come to the driver.
 
 Sets are computed again from the text, and kept, for classes that share a bucket with another only.
 """
@@ -24,7 +30,6 @@ from corvane.llm.common import Cuts, ship, table, whole
 
 WIDTH, PERCENT = 5, 80
 BANDS = 32
-MORE_LEADERS = 8
 CACHE_WORDS = 300_000
 _words: dict[bytes, int] = {}
 _ALL = (1 << 64) - 1
@@ -104,24 +109,70 @@ def components(edges: DataFrame, cuts: Cuts, name: str) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar enough."""
+def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the number of shingles `both` have."""
     x = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("s_a")), "a").join(sets.select(F.col("c").alias("b"), F.col("s").alias("s_b")), "b")
 
     def run(batches):
         for b in batches:
-            keep = []
-            last, members = None, None
-            for k, (x, y) in enumerate(zip(b.column(2), b.column(3))):
-                s, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.searchsorted(s, y)
-                both = int((s[np.minimum(at, len(s) - 1)] == y).sum())
-                if 100 * both >= percent * (len(s) + len(y) - both):
-                    keep.append(k)
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at)], names=["u", "v"])
+            both = []
+            for x, y in zip(b.column(2), b.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both.append(int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64())], names=["a", "b", "both"])
+
+    return x.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long, both long")
 
-    return x.select("a", "b", "s_a", "s_b").mapInArrow(run, "u long, v long")
+
+def _outside(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(path, c, n, l, own): what is outside the pivot l of `own`, the shingles of c outside the pivots so far, which path names."""
+    x = members.join(sets.select(F.col("c").alias("l"), F.col("s").alias("s_l")), "l")
+
+    def run(batches):
+        for b in batches:
+            own = []
+            for x, y in zip(b.column(4), b.column(5)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                own.append(x[y[np.minimum(np.searchsorted(y, x), len(y) - 1)] != x].tobytes())
+            path = _mix(_mix(b.column(0).to_numpy().view(np.uint64)) + b.column(3).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), b.column(1), b.column(2), b.column(3), pa.array(own, pa.binary()), pa.array([len(o) // 8 for o in own], pa.int64())], names=["path", "c", "n", "l", "own", "n_own"])
+
+    return x.select("path", "c", "n", "l", "own", "s_l").mapInArrow(run, "path long, c long, n long, l long, own binary, n_own long")
+
+
+def _buckets(members: DataFrame) -> DataFrame:
+    """(path, c, n, band): a bucket for each shingle of `own`."""
+
+    def run(batches):
+        for b in batches:
+            own = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(3)]
+            row = pa.array(np.repeat(np.arange(len(own)), [len(o) for o in own]), pa.int64())
+            if len(row):
+                path = b.column(0).take(row)
+                band = _mix(np.concatenate(own) + _mix(path.to_numpy().view(np.uint64)))
+                yield pa.RecordBatch.from_arrays([path, b.column(1).take(row), b.column(2).take(row), pa.array(band.view(np.int64))], names=["path", "c", "n", "band"])
+
+    return members.select("path", "c", "n", "own").mapInArrow(run, "path long, c long, n long, band long")
+
+
+def _inside(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one path and two components that could be similar by shingles of its pivots only.
+
+    `both` is how many of its shingles are in pivots. With x shingles in both, similarity asks for percent / (100 + percent)
+    of n + n2, and x is at most the smaller `both`. Members meet by size, in bins of about three per cent.
+    """
+    share = percent / (100 + percent)
+    bin_of = lambda c: F.floor(F.log(c.cast("double")) * 33)
+    most = F.floor(F.col("both") / share - F.col("n") + 1e-6)
+    least = F.ceil(F.col("n") * percent / 100 - 1e-6)
+    ask = members.where(F.col("label") != F.col("label_l")).where(most >= least)
+    ask = ask.select("path", "c", "n", "both", "label", F.explode(F.sequence(bin_of(F.greatest(least, F.lit(1))), bin_of(F.greatest(most, F.lit(1))))).alias("bin"))
+    have = members.where(F.col("both") >= F.ceil(share * (F.col("n") + F.col("n") * percent / 100) - 1e-6))
+    have = have.select("path", bin_of(F.col("n")).alias("bin"), F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("both").alias("both2"), F.col("label").alias("label2"))
+    enough = F.least("both", "both2") >= share * (F.col("n") + F.col("n2")) - 1e-6
+    fits = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
+    pairs = ask.join(have, ["path", "bin"]).where((F.col("label") != F.col("label2")) & enough & fits)
+    return pairs.select(F.greatest("c", "c2").alias("a"), F.least("c", "c2").alias("b")).distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -151,9 +202,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # big-endian words of the packed keys: only equality matters
     key = F.expr(f"transform(sequence(0, {BANDS - 1}), i -> cast(conv(hex(substring(bands, 8 * i + 1, 8)), 16, -10) as bigint))")
     buckets = cuts.cut(classes.select("c", "n", F.explode(key).alias("band")), "near-buckets")
-    code = F.col("c").bitwiseXOR(F.col("band"))  # another order of the classes in each bucket
-    shared = buckets.groupBy("band").agg(F.min(code).alias("lo"), F.max(code).alias("hi")).where("lo <> hi").select("band")
-    left = cuts.cut(buckets.join(shared, "band"), "near-left-0")
+    shared = buckets.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band")
+    left = cuts.cut(buckets.join(shared, "band").withColumn("path", F.lit(0).cast("long")), "near-left-0")
     cuts.drop("near-buckets")
     wanted = cuts.cut(classes.join(left.select("c").distinct(), "c", "left_semi").select("c", F.col("row")), "near-wanted")
 
@@ -163,32 +213,40 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # the texts of wanted rows: one in a few hundred others passes the bitmap, and the join is by the row's hash
     sets = cuts.cut(_only(docs, wanted).select("c", "t").mapInArrow(full, "c long, s binary"), "near-sets")
+    sizes = classes.select("c", "n")
     of = cuts.cut(classes.select("c", F.col("c").alias("label")), "near-labels-0")
-    tried, k, leaders = None, 0, 1
+    level, own = 0, sets.select(F.lit(0).cast("long").alias("path"), "c", F.col("s").alias("own"))
     while True:
+        # buckets with more than one component, and of each the pivot
         mine = left.join(of, "c")
-        spread = mine.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"), F.min(code).alias("first")).where("lo <> hi")
-        mine = mine.join(spread.select("band", "size", "first"), "band")
-        chosen = (code == F.col("first")) | (F.pmod(F.xxhash64("c", "band", F.lit(k)), F.col("size")) < leaders - 1)
-        name = f"near-open-{k}"
-        mine = cuts.cut(mine.withColumn("leads", chosen).drop("size", "first"), name)
+        spread = mine.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("band", "size")
+        mine = cuts.cut(mine.join(spread, "band"), f"near-open-{level}")
         if mine.isEmpty():
             break
-        lead = mine.where("leads").select("band", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
-        fits = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
-        pairs = mine.join(lead, "band").where((F.col("label") != F.col("label2")) & fits & (~F.col("leads") | (F.col("c") > F.col("c2"))))
-        pairs = pairs.select(F.greatest("c", "c2").alias("a"), F.least("c", "c2").alias("b")).distinct()
-        pairs = cuts.cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), f"near-pairs-{k}")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = cuts.cut(_compare(pairs, sets, percent), f"near-links-{k}")
-        k += 1
-        leaders *= MORE_LEADERS
-        if not links.isEmpty():
-            name_of = lambda side, to: of.select(F.col("c").alias(side), F.col("label").alias(to))
-            joined = components(links.join(name_of("u", "x"), "u").join(name_of("v", "y"), "v").select(F.col("x").alias("u"), F.col("y").alias("v")), cuts, f"near-stars-{k}")
-            joined = joined.select(F.col("node").alias("label"), F.col("label").alias("to"))
-            of = cuts.cut(of.join(joined, "label", "left").select("c", F.coalesce("to", "label").alias("label")), f"near-labels-{k}")
-        left = mine.where("not leads").select("c", "n", "band")
+        score = cuts.cut(mine.groupBy("c").agg(F.sum("size").alias("score")), f"near-score-{level}")
+        code = F.struct(F.col("score"), F.xxhash64("c").alias("draw"), F.col("c"))
+        mine = mine.join(score, "c").select("path", "c", "n", "band", code.alias("code"))
+        pivots = cuts.cut(mine.groupBy("band").agg(F.max("code").alias("top")), f"near-pivots-{level}")
+        if level == 0:  # of a member's buckets the first pivot, and of a bucket's members again: a group of copies then has one
+            for _ in range(2):
+                best = mine.select("band", "c").join(pivots, "band").groupBy("c").agg(F.max("top").alias("top"))
+                pivots = cuts.cut(mine.select("band", "c").join(best, "c").groupBy("band").agg(F.max("top").alias("top")), f"near-pivots-{level}")
+        mine = mine.join(pivots.select("band", F.col("top.c").alias("l")), "band")
+        pairs = cuts.cut(mine.where("c <> l").select("path", "c", "l", "n").distinct(), f"near-pairs-{level}")
+        seen = _compare(pairs.select(F.col("c").alias("a"), F.col("l").alias("b")).distinct(), sets)
+        of = _link(seen, sizes, of, percent, cuts, f"near-{level}")
+        # what still has members of more than one component under a pivot
+        members = pairs.join(of, "c")
+        mixed = members.groupBy("path", "l").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("path", "l")
+        members = pairs.join(cuts.cut(mixed, f"near-mixed-{level}"), ["path", "l"])
+        own = cuts.cut(_outside(members.join(own.select("path", "c", "own"), ["path", "c"]), sets), f"near-own-{level}")
+        label_l = of.select(F.col("c").alias("l"), F.col("label").alias("label_l"))
+        near = own.select("path", "c", "n", "l", (F.col("n") - F.col("n_own")).alias("both")).join(of, "c").join(label_l, "l")
+        pairs = cuts.cut(_inside(near, percent), f"near-inside-{level}")
+        if not pairs.isEmpty():
+            of = _link(_compare(pairs, sets), sizes, of, percent, cuts, f"near-{level}-inside")
+        left = _buckets(own)
+        level += 1
     least = classes.join(of, "c").groupBy("label").agg(F.min("rep").alias("component"))
     least = cuts.cut(of.join(least, "label").select("c", "component"), "near-components")
     out = signed.withColumn("c", F.when(F.col("n") > 0, F.col("c"))).select("id", "n", "c")
@@ -197,6 +255,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
+def _link(seen: DataFrame, sizes: DataFrame, of: DataFrame, percent: int, cuts: Cuts, name: str) -> DataFrame:
+    """The labels after linking those of the compared pairs that are similar enough."""
+    seen = cuts.cut(seen, f"{name}-seen")
+    size = lambda side, n: sizes.select(F.col("c").alias(side), F.col("n").alias(n))
+    links = seen.join(size("a", "n_a"), "a").join(size("b", "n_b"), "b").where(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both")))
+    label = lambda side, to: of.select(F.col("c").alias(side), F.col("label").alias(to))
+    edges = cuts.cut(links.select("a", "b").join(label("a", "u"), "a").join(label("b", "v"), "b").where("u <> v").select("u", "v").distinct(), f"{name}-edges")
+    if not edges.isEmpty():
+        joined = components(edges, cuts, f"{name}-stars").select(F.col("node").alias("label"), F.col("label").alias("to"))
+        of = cuts.cut(of.join(joined, "label", "left").select("c", F.coalesce("to", "label").alias("label")), f"{name}-labels")
+    return of
+
+
 def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """docs joined with the wanted classes by row; what cannot be wanted stays behind before the shuffle of texts."""
     at = lambda c: F.pmod(F.col(c), F.lit(1 << 23)) + 1
