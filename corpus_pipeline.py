@@ -1,10 +1,97 @@
-"""The corpus pipeline: language ID, exact and near dedup, repeated passages, packing."""
+"""The corpus pipeline: language ID, exact dedup, near dedup, repeated passages, packing.
+
+STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, and each is applied to what the
+one before has kept. All but the last return the columns of docs, whatever else docs has. Ids may repeat or be null: a row
+is followed by its id and text, and rows that repeat both share one decision, but for exact dedup, which keeps one of them.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corvane.llm.common import Cuts, table
+from corvane.llm.exact_dedup import exact_duplicates
+from corvane.llm.language_id import UNKNOWN, held_out, language_id
+from corvane.llm.near_dedup import near_duplicates
+from corvane.llm.packing import pack
+from corvane.llm.suffix_dedup import merged, without_repeats
+
+
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """docs as a written table with `_key`, a number of its own for each row, so that a decision meets its row."""
+    return Cuts(docs.sparkSession).cut(docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"), F.monotonically_increasing_id().alias("_key")), name)
+
+
+def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that can be told; those without a letter go."""
+    keyed = _keyed(docs, "pipeline-language")
+    train = keyed.where(~held_out()).select("_key", "text", F.col("_row.lang").alias("lang"))
+    found = language_id(keyed.select("_key", "text"), train=train, id_col="_key")
+    return _kept(keyed, found.where(F.col("lang_pred") != UNKNOWN))
+
+
+def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the smallest id, once."""
+    keyed = _keyed(docs, "pipeline-exact")
+    # the row's number breaks ties of repeated and null ids, which come last
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_key").alias("k"))
+    found = exact_duplicates(keyed.select(order.alias("order"), "text"), id_col="order")
+    return _kept(keyed, found.where("kept").select(F.col("order.k").alias("_key")))
+
+
+def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that five-word shingles link at a similarity of 0.8 or more: that with the smallest id."""
+    keyed = _keyed(docs, "pipeline-near")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_key").alias("k"))
+    found = near_duplicates(keyed.select(order.alias("order"), "text"), id_col="order")
+    return _kept(keyed, found.where("kept").select(F.col("order.k").alias("_key")))
+
+
+def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of strings of 200 bytes that also start elsewhere; characters cut in part go. n_chars follows."""
+    found = without_repeats(docs.select(F.struct("*").alias("_row"), F.col("text").alias("text")))
+    text = F.pandas_udf(_without, "string")(F.col("raw"), F.col("spans"))
+    text = F.when(F.size("spans") > 0, text).otherwise(F.col("text"))
+    found = found.withColumn("_new", text)
+    fields = [c for c in docs.columns]
+    of = {"text": F.col("_new"), "n_chars": F.when(F.size("spans") > 0, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars")) if "n_chars" in fields else None}
+    return found.select(*((of[c] if c in of else F.col(f"_row.`{c}`")).alias(c) for c in fields))
+
+
+def _without(raw, spans):
+    import pandas as pd
+
+    out = []
+    for r, s in zip(raw, spans):
+        parts, at = [], 0
+        for a, b in merged([(x["a"], x["b"]) for x in s], len(r)):
+            parts.append(r[at:a])
+            at = b
+        out.append(b"".join([*parts, r[at:]]).decode("utf-8", "ignore"))
+    return pd.Series(out)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of sequences of 1024 tokens."""
+    return pack(docs.select("doc_id", "text"))
+
+
+def _kept(keyed: DataFrame, found: DataFrame) -> DataFrame:
+    return keyed.join(found.select("_key"), "_key", "left_semi").select("_row.*")
+
+
+STAGES = [("language ID", detect_language), ("exact dedup", drop_exact), ("near dedup", drop_near), ("passages", drop_passages), ("packing", pack_sequences)]
+
+#: No SQL can express the first, third and last stage; tests/llm holds them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STAGES over documents, each stage's result written as Parquet and read again."""
+    docs, cuts = table(spark, sf_dir, "documents"), Cuts(spark)
+    for k, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return out
+        docs = cuts.cut(out, f"pipeline-stage-{k}")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from corvane.llm import bpe, exact_dedup, html_text, language_id, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup
+from corvane.llm import bpe, exact_dedup, html_text, language_id, near_dedup, packing, quality_classifier, quality_rules, sharding, suffix_dedup
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
+    "op3_sharding": sharding.op3_sharding,
     "op4_quality_classifier": quality_classifier.op4_quality_classifier,
     "op2_packing": packing.op2_packing,
     "op5_bpe": bpe.op5_bpe,
@@ -17,5 +18,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_sharding": sharding.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
 }
