@@ -7,15 +7,17 @@ is followed by its id and text, and rows that repeat both share one decision, bu
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from corvane.llm.common import Cuts, table
 from corvane.llm.exact_dedup import exact_duplicates
 from corvane.llm.language_id import UNKNOWN, held_out, language_id
 from corvane.llm.near_dedup import near_duplicates
 from corvane.llm.packing import pack
-from corvane.llm.suffix_dedup import merged, without_repeats
+from corvane.llm.suffix_dedup import cut_out, merged, spans_of, without_repeats
 
 
 def _keyed(docs: DataFrame, name: str) -> DataFrame:
@@ -50,26 +52,18 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of strings of 200 bytes that also start elsewhere; characters cut in part go. n_chars follows."""
-    found = without_repeats(docs.select(F.struct("*").alias("_row"), F.col("text").alias("text")))
-    text = F.pandas_udf(_without, "string")(F.col("raw"), F.col("spans"))
-    text = F.when(F.size("spans") > 0, text).otherwise(F.col("text"))
-    found = found.withColumn("_new", text)
-    fields = [c for c in docs.columns]
-    of = {"text": F.col("_new"), "n_chars": F.when(F.size("spans") > 0, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars")) if "n_chars" in fields else None}
-    return found.select(*((of[c] if c in of else F.col(f"_row.`{c}`")).alias(c) for c in fields))
-
-
-def _without(raw, spans):
-    import pandas as pd
-
-    out = []
-    for r, s in zip(raw, spans):
-        parts, at = [], 0
-        for a, b in merged([(x["a"], x["b"]) for x in s], len(r)):
-            parts.append(r[at:a])
-            at = b
-        out.append(b"".join([*parts, r[at:]]).decode("utf-8", "ignore"))
-    return pd.Series(out)
+    found = without_repeats(docs.select(F.struct("*").alias("_row"), F.col("text").alias("text"))).select("_row", "raw", "spans")
+    fields = found.schema["_row"].dataType
+
+    def cut(batches):
+        for b in batches:
+            text = [cut_out(r, merged(s, len(r))).decode("utf-8", "ignore") if len(s) else None for r, s in zip(b.column(1).to_pylist(), spans_of(b.column(2)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string())], names=["_row", "_new"])
+
+    found = found.mapInArrow(cut, StructType([StructField("_row", fields), StructField("_new", StringType())]))
+    new = F.col("_new").isNotNull()
+    of = {"text": F.when(new, F.col("_new")).otherwise(F.col("_row.text")), "n_chars": F.when(new, F.length("_new").cast("long")).otherwise(F.col("_row.n_chars"))}
+    return found.select(*(of.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

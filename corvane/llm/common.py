@@ -83,3 +83,17 @@ def whole(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def maybe_in(df: DataFrame, column: str, wanted: DataFrame, bits: int = 1 << 23) -> DataFrame:
+    """df with `_maybe`: false for rows whose hash in `column` is certainly not in the column of that name of `wanted`.
+
+    The hashes wanted are sent as a bitmap of fixed size (1 MB). As it fills, more rows pass, so what follows must be exact.
+    A null is in nothing.
+    """
+    at = F.pmod(F.col(column), F.lit(bits)) + 1  # Spark numbers the bits of a bucket from 1 on
+    maps = wanted.select(at.alias("_at")).groupBy(F.bitmap_bucket_number("_at").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_map"))
+    rows = df.withColumn("_at", at).join(F.broadcast(maps), F.bitmap_bucket_number(F.col("_at")) == F.col("_bucket"), "left")
+    rows = rows.withColumn("_byte", F.expr("cast(conv(hex(substring(_map, cast(bitmap_bit_position(_at) div 8 as int) + 1, 1)), 16, 10) as int)"))
+    hit = F.coalesce(F.expr("shiftright(_byte, cast(bitmap_bit_position(_at) % 8 as int)) & 1") == 1, F.lit(False))
+    return rows.withColumn("_maybe", hit).drop("_at", "_bucket", "_map", "_byte")

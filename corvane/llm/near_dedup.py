@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import Cuts, ship, table, whole
+from corvane.llm.common import Cuts, maybe_in, ship, table, whole
 
 WIDTH, PERCENT = 5, 80
 BANDS = 32
@@ -211,8 +211,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, width).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["c", "s"])
 
-    # the texts of wanted rows: one in a few hundred others passes the bitmap, and the join is by the row's hash
-    sets = cuts.cut(_only(docs, wanted).select("c", "t").mapInArrow(full, "c long, s binary"), "near-sets")
+    found = maybe_in(docs, "row", wanted.select("row")).where("_maybe").join(wanted, "row")  # other texts are not shuffled
+    sets = cuts.cut(found.select("c", "t").mapInArrow(full, "c long, s binary"), "near-sets")
     sizes = classes.select("c", "n")
     of = cuts.cut(classes.select("c", F.col("c").alias("label")), "near-labels-0")
     level, own = 0, sets.select(F.lit(0).cast("long").alias("path"), "c", F.col("s").alias("own"))
@@ -268,15 +268,5 @@ def _link(seen: DataFrame, sizes: DataFrame, of: DataFrame, percent: int, cuts:
     return of
 
 
-def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """docs joined with the wanted classes by row; what cannot be wanted stays behind before the shuffle of texts."""
-    at = lambda c: F.pmod(F.col(c), F.lit(1 << 23)) + 1
-    bits = wanted.select(at("row").alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map"))
-    byte = F.expr("cast(conv(hex(substring(map, cast(bitmap_bit_position(at) div 8 as int) + 1, 1)), 16, 10) as int)")
-    docs = docs.withColumn("at", at("row")).join(F.broadcast(bits), F.bitmap_bucket_number("at") == F.col("bucket")).withColumn("byte", byte)
-    docs = docs.where(F.expr("shiftright(byte, cast(bitmap_bit_position(at) % 8 as int)) & 1") == 1).select("row", "t")
-    return docs.join(wanted, "row")
-
-
 def op8_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import Cuts, ship, table, whole
+from corvane.llm.common import Cuts, maybe_in, ship, table, whole
 
 LENGTH = 200
 GRAM = 96
@@ -279,40 +279,43 @@ def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: in
                     yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64)), pa.array(full.view(np.int64)), pa.array(k1[text]), pa.array(place)], names=["lead", "whole", "text", "place"])
 
         name = f"suffix-level-{level}"
-        found = cuts.cut(texts.select("text", "check", "t").mapInArrow(rows, ROW), name)
+        # after the first level, texts without a repeated block need not be looked at again
+        some = texts if level == 0 else maybe_in(texts, "text", found.select("text")).where("_maybe")
+        found = cuts.cut(some.select("text", "check", "t").mapInArrow(rows, ROW), name)
         found = repeated(found, cuts, f"{name}-sorted")
         cuts.drop(name)
         start = F.expr("cast(place & 4294967295 as bigint)") - LEVELS[0]
-        done = found.where("whole_twice").select("text", F.shiftright("place", 32).cast("int").alias("check"), start.alias("a"), (start + length + size - 1).alias("b"))
+        done = found.where("whole_twice").select("text", F.shiftright("place", 32).cast("int").alias("check"), (F.shiftleft(F.greatest(start, F.lit(0)), 32) + start + length + size - 1).alias("span"))
         spans = done if spans is None else spans.union(done)
         if size > 1:
             bitmaps.append(_bitmap(found.where("not whole_twice"), "lead", bits // 4))
-    # copies of a text give the same spans
-    return spans.groupBy("text", "check").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    return spans.groupBy("text", "check").agg(F.collect_list("span").alias("spans"))
 
 
-def merged(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
-    """The spans in order, joined where they meet or overlap, within a text of `size` bytes."""
-    spans = [(max(0, a), min(b, size)) for a, b in spans]
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def merged(spans: np.ndarray, size: int) -> np.ndarray:
+    """The spans as rows (first, past the last) in order, joined where they meet or overlap, within a text of `size` bytes."""
+    spans = np.sort(spans)
+    a, b = spans >> 32, np.minimum(np.maximum.accumulate(spans & 0xFFFFFFFF), size)
+    new = np.flatnonzero(np.r_[True, a[1:] > b[:-1]]) if len(a) else np.zeros(0, int)
+    return np.stack([a[new], b[np.r_[new[1:] - 1, len(b) - 1]]], axis=1) if len(a) else np.zeros((0, 2), np.int64)
 
 
-def _cut_out(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
+def spans_of(column: pa.Array) -> list[np.ndarray]:
+    """A list column of spans as arrays, without a Python object for each."""
+    flat, at = column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(int)
+    return [flat[at[k] : at[k + 1]] for k in range(len(column))]
+
+
+def cut_out(raw: bytes, spans: np.ndarray) -> bytes:
     out, at = [], 0
-    for a, b in spans:
+    for a, b in spans.tolist():
         out.append(raw[at:a])
         at = b
     return b"".join([*out, raw[at:]])
 
 
 def without_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, bits: int = BITS) -> DataFrame:
-    """df with the text's UTF-8 bytes in `raw`, spans to remove (for merged()) as array<struct<a, b>> in `spans` (empty where there are none).
+    """df with the text's UTF-8 bytes in `raw`, spans to remove (for merged()) as array<bigint> in `spans` (empty where there are none).
 
     Every byte covered by a string of `length` bytes that also starts anywhere else is in a span: in any row, or
     elsewhere in the same one. So rows with equal texts of `length` bytes or more lose all of them, shorter texts none.
@@ -321,19 +324,12 @@ def without_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH,
     """
     spark, cuts = df.sparkSession, Cuts(df.sparkSession)
     spans = cuts.cut(repeated_spans(df, cuts, text_col, length, gram, bits), "suffix-spans")
-    hit = cuts.cut(spans.select("text"), "suffix-texts")
-    bitmap = _bitmap(hit, "text", 1 << 24).value
-    width = 1 << 15
-    parts = spark.createDataFrame([(k + 1, bitmap[k * 4096 : (k + 1) * 4096].tobytes()) for k in range((1 << 24) // width)], "_bucket long, _map binary")
     row = df.select(F.struct("*").alias("_row"), F.xxhash64(text_col).alias("_text"), F.hash(text_col).alias("_check"), F.encode(whole(F.col(text_col)), "UTF-8").alias("raw"))
-    at = F.col("_text").bitwiseAND(F.lit((1 << 24) - 1)) + 1
-    row = row.withColumn("_at", at).join(F.broadcast(parts), F.bitmap_bucket_number(F.col("_at")) == F.col("_bucket"), "left")
-    byte = F.expr("cast(conv(hex(substring(_map, cast(bitmap_bit_position(_at) div 8 as int) + 1, 1)), 16, 10) as int)")
-    maybe = F.expr("shiftright({}, cast(bitmap_bit_position(_at) % 8 as int)) & 1".format("_byte")) == 1
-    row = row.withColumn("_byte", byte).withColumn("_maybe", F.coalesce(maybe, F.lit(False)) & F.col("_text").isNotNull()).drop("_map", "_bucket", "_byte", "_at")
-    no_spans = F.array().cast("array<struct<a:bigint,b:bigint>>").alias("spans")
+    row = maybe_in(row, "_text", spans.select(F.col("text").alias("_text")))
+    no_spans = F.array().cast("array<bigint>").alias("spans")
     # only rows that may have spans are shuffled, to meet them
-    some = row.where("_maybe").join(spans.select(F.col("text").alias("_text"), F.col("check").alias("_check"), "spans"), ["_text", "_check"], "left").select("_row.*", "raw", F.coalesce("spans", no_spans).alias("spans"))
+    spans = spans.select(F.col("text").alias("_text"), F.col("check").alias("_check"), "spans")
+    some = row.where("_maybe").join(spans, ["_text", "_check"], "left").select("_row.*", "raw", F.coalesce("spans", no_spans).alias("spans"))
     return some.unionByName(row.where("not _maybe").select("_row.*", "raw", no_spans))
 
 
@@ -346,12 +342,14 @@ def op9_suffix_dedup(spark, sf_dir):
 
         for b in batches:
             n, removed, count, sha = [], [], [], []
-            for raw, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                spans = merged([(s["a"], s["b"]) for s in spans], len(raw))
+            for raw, spans in zip(b.column(1).to_pylist(), spans_of(b.column(2))):
                 n.append(len(raw))
-                removed.append(sum(b - a for a, b in spans))
+                if len(spans):
+                    spans = merged(spans, len(raw))
+                    raw = cut_out(raw, spans)
+                removed.append(n[-1] - len(raw))
                 count.append(len(spans))
-                sha.append(hashlib.sha256(_cut_out(raw, spans)).hexdigest())
+                sha.append(hashlib.sha256(raw).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
