@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 import tempfile
 import uuid
@@ -10,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane import session
+
 #: The white space of every contract here: space, and tab to carriage return.
 WS = r"[\x20\x09-\x0D]+"
 WS_CHARS = " \t\n\x0b\x0c\r"
@@ -18,14 +19,9 @@ WS_CHARS = " \t\n\x0b\x0c\r"
 #: vocabularies: Latin-1 and Latin Extended-A and -B without superscripts, fractions and ordinals, general punctuation.
 PLAIN = re.compile("[^\x00-\x1b\x20-\xa9\xab-\xb1\xb4-\xb8\xbb\xbf-\u024f\u2010-\u2027\u2030-\u205e]")
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
 def ship(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package, and bound an Arrow batch by rows (whole texts can be long)."""
-    path = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if _ROOT not in path.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, path) if x)
+    session.ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     return spark
 
