@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,7 @@ from corvane.llm.common import PLAIN, ship, table, whole
 
 SIZE = 1024
 GROUP_DOCS = 4096
+#: Distinct words that a worker keeps, and as many of those before.
 CACHE_WORDS = 400_000
 SEPARATOR = 0
 
@@ -49,7 +52,9 @@ class Tokens:
         special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         self.special = {s: np.array([i], self.kind).tobytes() for s, i in special.items()}
         self.split_special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
-        self.cache: dict[str, bytes] = {}
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.cache: dict[str, bytes] = dict(self.special)
+        self.older: dict[str, bytes] = {}
 
     def _split(self, text: str) -> list[str]:
         return (self.words if PLAIN.search(text) else PLAIN_WORDS).findall(text)
@@ -68,13 +73,15 @@ class Tokens:
         out = []
         for k in range(0, len(texts), 64):
             split = [self.split(t) for t in texts[k : k + 64]]
-            new = list({w for words in split for w in words if w not in self.cache})
-            if new:
-                if len(self.cache) + len(new) > CACHE_WORDS:
-                    self.cache = dict(self.special)
-                    new = list({w for words in split for w in words if w not in self.cache})
+            if new := set(chain.from_iterable(split)).difference(self.cache):
+                if len(self.cache) + len(new) > CACHE_WORDS:  # words in use come back from the older half
+                    self.older, self.cache = self.cache, dict(self.special)
+                    new = set(chain.from_iterable(split)).difference(self.cache)
+                known = {w: self.older[w] for w in new if w in self.older}
+                self.cache.update(known)
+                new = list(new.difference(known))
                 for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-                    self.cache[w] = np.array(e.ids, self.kind).tobytes()
+                    self.cache[w] = array(self.code, e.ids).tobytes()
             out += [b"".join(map(self.cache.__getitem__, words)) for words in split]
         return out
 
