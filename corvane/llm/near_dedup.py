@@ -13,7 +13,8 @@ that then still holds more than one component, two members can be similar in two
 - they share shingles of the pivots only, so no more than the smaller of the two numbers that each has of these: where that
   allows the similarity at all, the pair is compared.
 
-So no pair of a bucket is passed over, and no bucket has all of its pairs compared. Only counts come to the driver.
+A bucket of at most SMALL members has its pairs compared at once. So no pair of a bucket is passed over, and none of a large one is
+compared that need not be. Only counts come to the driver.
 
 Sets are computed again from the text, and kept, for classes that share a bucket with another only.
 """
@@ -30,6 +31,8 @@ from corvane.llm.common import Cuts, maybe_in, ship, table, whole
 
 WIDTH, PERCENT = 5, 80
 BANDS = 32
+#: In a bucket of so many members each is compared with each; larger ones go by pivots.
+SMALL = 8
 CACHE_WORDS = 300_000
 _words: dict[bytes, int] = {}
 _ALL = (1 << 64) - 1
@@ -217,10 +220,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of = cuts.cut(classes.select("c", F.col("c").alias("label")), "near-labels-0")
     level, own = 0, sets.select(F.lit(0).cast("long").alias("path"), "c", F.col("s").alias("own"))
     while True:
-        # buckets with more than one component, and of each the pivot
+        # buckets with more than one component; of buckets with the same members one
         mine = left.join(of, "c")
-        spread = mine.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("band", "size")
+        member = F.xxhash64("c")
+        spread = mine.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"), F.bit_xor(member).alias("x"), F.sum(member.bitwiseAND(F.lit((1 << 31) - 1))).alias("y"))
+        spread = spread.where("lo <> hi").groupBy("size", "x", "y").agg(F.min("band").alias("band")).select("band", "size")
         mine = cuts.cut(mine.join(spread, "band"), f"near-open-{level}")
+        if mine.isEmpty():
+            break
+        few = mine.where(F.col("size") <= SMALL).select("band", "c", "n", "label")
+        other = few.select("band", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
+        fits = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
+        pairs = few.join(other, "band").where((F.col("c") > F.col("c2")) & (F.col("label") != F.col("label2")) & fits).select(F.col("c").alias("a"), F.col("c2").alias("b")).distinct()
+        pairs = cuts.cut(pairs, f"near-few-{level}")
+        if not pairs.isEmpty():
+            of = _link(_compare(pairs, sets), sizes, of, percent, cuts, f"near-{level}-few")
+        mine = mine.where(F.col("size") > SMALL)
         if mine.isEmpty():
             break
         score = cuts.cut(mine.groupBy("c").agg(F.sum("size").alias("score")), f"near-score-{level}")
