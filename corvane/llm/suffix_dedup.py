@@ -30,9 +30,9 @@ from corvane.llm.common import Cuts, maybe_in, ship, table, whole
 LENGTH = 200
 GRAM = 96
 LEVELS = (32, 8, 1)
-CHUNK = 1 << 19
-BITS = 1 << 28
-ROWS_A_BUCKET = 1_000_000
+CHUNK = 1 << 18
+BITS = 1 << 27
+ROWS_A_BUCKET = 400_000
 BASE = 0x9E3779B97F4A7C15 | 1
 _POWER = {1: np.uint64(BASE)}
 for _m in range(1, 12):
