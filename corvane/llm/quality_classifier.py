@@ -20,7 +20,7 @@ BUCKETS = 1 << 14
 LEVELS = 12
 FACTORS = 8
 ROWS_A_CLASS = 2500
-EPOCHS, RATE, RIDGE, BATCH = 20, 0.05, 2e-4, 128
+EPOCHS, LEAST_STEPS, RATE, RIDGE, BATCH = 20, 400, 0.05, 2e-4, 128
 THRESHOLD = 0.3
 CACHE_WORDS = 300_000
 
@@ -96,7 +96,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, prior: float,
     gw, gv, g0 = np.full_like(w, 1e-6), np.full_like(v, 1e-6), 1e-6
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
     x = np.zeros((BATCH, WIDTH), np.float32)
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // max(1, len(rows))))):
         order = rng.permutation(len(rows))
         for k in range(0, len(order), BATCH):
             at = order[k : k + BATCH]
