@@ -10,7 +10,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from corvane.llm.common import Cuts, table
 from corvane.llm.exact_dedup import exact_duplicates
@@ -52,18 +52,19 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of strings of 200 bytes that also start elsewhere; characters cut in part go. n_chars follows."""
-    found = without_repeats(docs.select(F.struct("*").alias("_row"), F.col("text").alias("text"))).select("_row", "raw", "spans")
-    fields = found.schema["_row"].dataType
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("_row")
+    found = without_repeats(docs.select(others, F.col("text").isNull().alias("_null"), F.col("text").alias("text")))
 
     def cut(batches):
         for b in batches:
-            text = [cut_out(r, merged(s, len(r))).decode("utf-8", "ignore") if len(s) else None for r, s in zip(b.column(1).to_pylist(), spans_of(b.column(2)))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string())], names=["_row", "_new"])
-
-    found = found.mapInArrow(cut, StructType([StructField("_row", fields), StructField("_new", StringType())]))
-    new = F.col("_new").isNotNull()
-    of = {"text": F.when(new, F.col("_new")).otherwise(F.col("_row.text")), "n_chars": F.when(new, F.length("_new").cast("long")).otherwise(F.col("_row.n_chars"))}
-    return found.select(*(of.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
+            parts = list(zip(b.column(2).to_pylist(), spans_of(b.column(3))))
+            text = [(cut_out(r, merged(s, len(r))) if len(s) else r).decode("utf-8", "ignore") for r, s in parts]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array([len(s) > 0 for _, s in parts])], names=["_row", "_null", "_text", "_cut"])
+
+    schema = StructType([found.schema["_row"], found.schema["_null"], StructField("_text", StringType()), StructField("_cut", BooleanType())])
+    found = found.select("_row", "_null", "raw", "spans").mapInArrow(cut, schema)
+    of = {"text": F.when(~F.col("_null"), F.col("_text")), "n_chars": F.when(F.col("_cut"), F.length("_text").cast("long")).otherwise(F.col("_row.n_chars"))}
+    return found.select(*((of[c] if c in of else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -289,7 +289,8 @@ def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: in
         spans = done if spans is None else spans.union(done)
         if size > 1:
             bitmaps.append(_bitmap(found.where("not whole_twice"), "lead", bits // 4))
-    return spans.groupBy("text", "check").agg(F.collect_list("span").alias("spans"))
+    # copies of a text have given the same spans, which are to be there once
+    return spans.groupBy("text", "check").agg(F.collect_set("span").alias("spans"))
 
 
 def merged(spans: np.ndarray, size: int) -> np.ndarray:
@@ -315,16 +316,17 @@ def cut_out(raw: bytes, spans: np.ndarray) -> bytes:
 
 
 def without_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, bits: int = BITS) -> DataFrame:
-    """df with the text's UTF-8 bytes in `raw`, spans to remove (for merged()) as array<bigint> in `spans` (empty where there are none).
+    """df without the text: its UTF-8 bytes in `raw`, spans to remove (for merged()) as array<bigint> in `spans` (empty where there are none).
 
     Every byte covered by a string of `length` bytes that also starts anywhere else is in a span: in any row, or
     elsewhere in the same one. So rows with equal texts of `length` bytes or more lose all of them, shorter texts none.
-    Null texts are empty, with no bytes. Columns of df are kept, with any names but `raw` and `spans` of the result;
-    an empty table gives an empty result.
+    Null texts are empty, with no bytes. The other columns of df are kept, with any names but `raw` and `spans` of the result;
+    there must be one. An empty table gives an empty result.
     """
     spark, cuts = df.sparkSession, Cuts(df.sparkSession)
     spans = cuts.cut(repeated_spans(df, cuts, text_col, length, gram, bits), "suffix-spans")
-    row = df.select(F.struct("*").alias("_row"), F.xxhash64(text_col).alias("_text"), F.hash(text_col).alias("_check"), F.encode(whole(F.col(text_col)), "UTF-8").alias("raw"))
+    others = [c for c in df.columns if c != text_col]
+    row = df.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"), F.xxhash64(text_col).alias("_text"), F.hash(text_col).alias("_check"), F.encode(whole(F.col(text_col)), "UTF-8").alias("raw"))
     row = maybe_in(row, "_text", spans.select(F.col("text").alias("_text")))
     no_spans = F.array().cast("array<bigint>").alias("spans")
     # only rows that may have spans are shuffled, to meet them
