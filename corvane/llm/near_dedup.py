@@ -33,6 +33,8 @@ WIDTH, PERCENT = 5, 80
 BANDS = 32
 #: In a bucket of so many members each is compared with each; larger ones go by pivots.
 SMALL = 8
+#: Counts of a set's shingles by parts of their hashes bound how many two sets share.
+PARTS = 64
 CACHE_WORDS = 300_000
 _words: dict[bytes, int] = {}
 _ALL = (1 << 64) - 1
@@ -158,6 +160,13 @@ def _buckets(members: DataFrame) -> DataFrame:
     return members.select("path", "c", "n", "own").mapInArrow(run, "path long, c long, n long, band long")
 
 
+def _able(percent: int):
+    """Whether two sets of n and n2 shingles can be similar by how many of them are in each of PARTS parts of the hashes."""
+    both = F.aggregate(F.zip_with("h", "h2", lambda a, b: F.least(a, b)), F.lit(0), lambda s, x: s + x)
+    fits = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
+    return fits & ((100 + percent) * both >= percent * (F.col("n") + F.col("n2")))
+
+
 def _inside(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one path and two components that could be similar by shingles of its pivots only.
 
@@ -169,12 +178,11 @@ def _inside(members: DataFrame, percent: int) -> DataFrame:
     most = F.floor(F.col("both") / share - F.col("n") + 1e-6)
     least = F.ceil(F.col("n") * percent / 100 - 1e-6)
     ask = members.where(F.col("label") != F.col("label_l")).where(most >= least)
-    ask = ask.select("path", "c", "n", "both", "label", F.explode(F.sequence(bin_of(F.greatest(least, F.lit(1))), bin_of(F.greatest(most, F.lit(1))))).alias("bin"))
+    ask = ask.select("path", "c", "n", "both", "label", "h", F.explode(F.sequence(bin_of(F.greatest(least, F.lit(1))), bin_of(F.greatest(most, F.lit(1))))).alias("bin"))
     have = members.where(F.col("both") >= F.ceil(share * (F.col("n") + F.col("n") * percent / 100) - 1e-6))
-    have = have.select("path", bin_of(F.col("n")).alias("bin"), F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("both").alias("both2"), F.col("label").alias("label2"))
+    have = have.select("path", bin_of(F.col("n")).alias("bin"), F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("both").alias("both2"), F.col("label").alias("label2"), F.col("h").alias("h2"))
     enough = F.least("both", "both2") >= share * (F.col("n") + F.col("n2")) - 1e-6
-    fits = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
-    pairs = ask.join(have, ["path", "bin"]).where((F.col("label") != F.col("label2")) & enough & fits)
+    pairs = ask.join(have, ["path", "bin"]).where((F.col("label") != F.col("label2")) & enough & _able(percent))
     return pairs.select(F.greatest("c", "c2").alias("a"), F.least("c", "c2").alias("b")).distinct()
 
 
@@ -212,10 +220,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def full(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, width).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["c", "s"])
+            found = [shingles(t, width) for t in b.column(1).to_pylist()]
+            counts = [np.bincount((x & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS) for x in found]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in found], pa.binary()), pa.array(counts, pa.list_(pa.int32()))], names=["c", "s", "h"])
 
     found = maybe_in(docs, "row", wanted.select("row")).where("_maybe").join(wanted, "row")  # other texts are not shuffled
-    sets = cuts.cut(found.select("c", "t").mapInArrow(full, "c long, s binary"), "near-sets")
+    sets = cuts.cut(found.select("c", "t").mapInArrow(full, "c long, s binary, h array<int>"), "near-sets")
     sizes = classes.select("c", "n")
     of = cuts.cut(classes.select("c", F.col("c").alias("label")), "near-labels-0")
     level, own = 0, sets.select(F.lit(0).cast("long").alias("path"), "c", F.col("s").alias("own"))
@@ -228,10 +238,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         mine = cuts.cut(mine.join(spread, "band"), f"near-open-{level}")
         if mine.isEmpty():
             break
-        few = mine.where(F.col("size") <= SMALL).select("band", "c", "n", "label")
-        other = few.select("band", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
-        fits = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
-        pairs = few.join(other, "band").where((F.col("c") > F.col("c2")) & (F.col("label") != F.col("label2")) & fits).select(F.col("c").alias("a"), F.col("c2").alias("b")).distinct()
+        few = mine.where(F.col("size") <= SMALL).join(sets.select("c", "h"), "c").select("band", "c", "n", "label", "h")
+        other = few.select("band", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("label2"), F.col("h").alias("h2"))
+        pairs = few.join(other, "band").where((F.col("c") > F.col("c2")) & (F.col("label") != F.col("label2")) & _able(percent)).select(F.col("c").alias("a"), F.col("c2").alias("b")).distinct()
         pairs = cuts.cut(pairs, f"near-few-{level}")
         if not pairs.isEmpty():
             of = _link(_compare(pairs, sets), sizes, of, percent, cuts, f"near-{level}-few")
@@ -256,7 +265,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         members = pairs.join(cuts.cut(mixed, f"near-mixed-{level}"), ["path", "l"])
         own = cuts.cut(_outside(members.join(own.select("path", "c", "own"), ["path", "c"]), sets), f"near-own-{level}")
         label_l = of.select(F.col("c").alias("l"), F.col("label").alias("label_l"))
-        near = own.select("path", "c", "n", "l", (F.col("n") - F.col("n_own")).alias("both")).join(of, "c").join(label_l, "l")
+        near = own.select("path", "c", "n", "l", (F.col("n") - F.col("n_own")).alias("both")).join(of, "c").join(label_l, "l").join(sets.select("c", "h"), "c")
         pairs = cuts.cut(_inside(near, percent), f"near-inside-{level}")
         if not pairs.isEmpty():
             of = _link(_compare(pairs, sets), sizes, of, percent, cuts, f"near-{level}-inside")

@@ -30,7 +30,7 @@ def test_broken_markup():
 
 
 def test_host_consensus(spark):
-    good = page(f"<div class='wrap'><div class='story'><p>{P}</div><div class='extra'><p>{P[:60]}</div></div>")
+    good = page(f"<div class='wrap'><div class='story'><p>{P}</div><div class='extra'><p>{P[:30]}</div></div>")
     odd = page(f"<div class='wrap'><div class='story'><p>{P[:70]}</div><div class='extra'><p>{P * 4}</div></div>")
     rows = [(i, f"https://u@Host.example:80/{i}", good, 1) for i in range(5)] + [(9, "http://host.example/x?y", odd, 1), (10, None, None, 1), (11, "nonsense", "", 1), (11, "nonsense", "", 1), (None, "http://other/", good, 1)]
     got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
