@@ -22,7 +22,7 @@ PLAIN = re.compile("[^\x00-\x1b\x20-\xa9\xab-\xb1\xb4-\xb8\xbb\xbf-\u024f\u2010-
 def ship(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package, and bound an Arrow batch by rows (whole texts can be long)."""
     session.ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set(BATCH_ROWS, "128")
     return spark
 
 
@@ -42,6 +42,7 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

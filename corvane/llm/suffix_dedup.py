@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import Cuts, maybe_in, ship, table, whole
+from corvane.llm.common import BATCH_ROWS, Cuts, maybe_in, ship, table, whole
 
 LENGTH = 200
 GRAM = 96
@@ -224,7 +224,10 @@ def repeated(rows: DataFrame, cuts: Cuts, name: str) -> DataFrame:
             at = keep[k : k + (1 << 16)]
             yield pa.RecordBatch.from_arrays([*(pa.array(x[at]) for x in c), pa.array(flags[0][at]), pa.array(flags[1][at]), pa.array(edge[at]), pa.array(bucket[at])], names=["lead", "whole", "text", "place", "lead_twice", "whole_twice", "edge", "bucket"])
 
+    rows_a_batch = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, "16384")  # of these narrow rows
     out = cuts.cut(dealt.mapInArrow(compare, f"{ROW}, lead_twice boolean, whole_twice boolean, edge byte, bucket int"), name)
+    spark.conf.set(BATCH_ROWS, rows_a_batch)
     # across boundaries: first and last suffix of each bucket, two rows of a bucket at most
     edges = sorted(((r["bucket"], r["edge"] & 2, r["lead"], r["whole"], r["edge"]) for r in out.where("edge > 0").collect()), key=lambda r: r[:2])
     fixed: dict[tuple[int, int], list[bool]] = {}
@@ -284,21 +287,29 @@ def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: in
         found = cuts.cut(some.select("text", "check", "t").mapInArrow(rows, ROW), name)
         found = repeated(found, cuts, f"{name}-sorted")
         cuts.drop(name)
-        start = F.expr("cast(place & 4294967295 as bigint)") - LEVELS[0]
-        done = found.where("whole_twice").select("text", F.shiftright("place", 32).cast("int").alias("check"), (F.shiftleft(F.greatest(start, F.lit(0)), 32) + start + length + size - 1).alias("span"))
+        start = F.greatest(F.expr("cast(place & 4294967295 as bigint)") - LEVELS[0], F.lit(0))
+        done = found.where("whole_twice").select("text", F.shiftright("place", 32).cast("int").alias("check"), start.alias("a"))
+        done = done.select("text", "check", (F.shiftright("a", 6) * len(LEVELS) + level).alias("word"), F.expr("shiftleft(1L, cast(a & 63 as int))").alias("bit"))
         spans = done if spans is None else spans.union(done)
         if size > 1:
             bitmaps.append(_bitmap(found.where("not whole_twice"), "lead", bits // 4))
-    # copies of a text have given the same spans, which are to be there once
-    return spans.groupBy("text", "check").agg(F.collect_set("span").alias("spans"))
-
-
-def merged(spans: np.ndarray, size: int) -> np.ndarray:
-    """The spans as rows (first, past the last) in order, joined where they meet or overlap, within a text of `size` bytes."""
-    spans = np.sort(spans)
-    a, b = spans >> 32, np.minimum(np.maximum.accumulate(spans & 0xFFFFFFFF), size)
-    new = np.flatnonzero(np.r_[True, a[1:] > b[:-1]]) if len(a) else np.zeros(0, int)
-    return np.stack([a[new], b[np.r_[new[1:] - 1, len(b) - 1]]], axis=1) if len(a) else np.zeros((0, 2), np.int64)
+    # places become bits before they meet: those of one text are few words then, and those of its copies the same
+    words = spans.groupBy("text", "check", "word").agg(F.bit_or("bit").alias("bits"))
+    return words.groupBy("text", "check").agg(F.flatten(F.collect_list(F.array("word", "bits"))).alias("spans"))
+
+
+def merged(spans: np.ndarray, size: int, length: int = LENGTH) -> np.ndarray:
+    """What spans (of repeated_spans) cover of a text of `size` bytes, as rows (first byte, past the last), in order and apart."""
+    if not len(spans):
+        return np.zeros((0, 2), np.int64)
+    word, bits = spans[0::2], np.ascontiguousarray(spans[1::2])
+    row, bit = np.nonzero(np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+    a = (word[row] // len(LEVELS)) * 64 + bit
+    b = np.minimum(a + length - 1 + np.array(LEVELS)[word[row] % len(LEVELS)], size)
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], np.maximum.accumulate(b[order])
+    new = np.flatnonzero(np.r_[True, a[1:] > b[:-1]])
+    return np.stack([a[new], b[np.r_[new[1:] - 1, len(b) - 1]]], axis=1)
 
 
 def spans_of(column: pa.Array) -> list[np.ndarray]:
