@@ -6,9 +6,10 @@ TEXT = " ".join(f"word{i % 97} and{i}" for i in range(100))
 
 
 def rows():
+    head = lambda k: " ".join(f"h{k}x{i}" for i in range(60))
     passage = " ".join(f"p{i}" for i in range(70))
-    return [(1, TEXT, "en", "s"), (2, TEXT.replace(" ", "  "), "en", "s"), (3, TEXT + " end", "en", "s"), (4, "123 456", "en", "s"), (5, None, None, None), (6, f"Some head. {passage} Some tail.", "de", "s"),
-            (7, f"Other é start {passage}", "de", "s"), (8, "a clean text", "fr", "s"), (8, "a clean text", "fr", "s"), (None, "a text without an id", "fr", "s")]
+    return [(1, TEXT, "en", "s"), (2, TEXT.replace(" ", "  "), "en", "s"), (3, TEXT + " end", "en", "s"), (4, "123 456", "en", "s"), (5, None, None, None), (6, f"{head(6)} {passage} Some tail.", "de", "s"),
+            (7, f"{head(7)} é start {passage}", "de", "s"), (8, "a clean text", "fr", "s"), (8, "a clean text", "fr", "s"), (None, "a text without an id", "fr", "s")]
 
 
 def test_stages(spark, docs):
