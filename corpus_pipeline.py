@@ -2,17 +2,17 @@
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, and each is applied to what the
 one before has kept. All but the last return the columns of docs, whatever else docs has. Ids may repeat or be null: a row
-is followed by its id and text, and rows that repeat both share one decision, but for exact dedup, which keeps one of them.
+is known by its id and text, and rows that repeat both share one decision, but for exact dedup, which keeps one of them.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from corvane.llm.common import Cuts, table
+from corvane.llm.common import Cuts, maybe_in, table
 from corvane.llm.exact_dedup import exact_duplicates
 from corvane.llm.language_id import UNKNOWN, held_out, language_id
 from corvane.llm.near_dedup import near_duplicates
@@ -20,34 +20,45 @@ from corvane.llm.packing import pack
 from corvane.llm.suffix_dedup import cut_out, merged, spans_of, without_repeats
 
 
-def _keyed(docs: DataFrame, name: str) -> DataFrame:
-    """docs as a written table with `_key`, a number of its own for each row, so that a decision meets its row."""
-    return Cuts(docs.sparkSession).cut(docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"), F.monotonically_increasing_id().alias("_key")), name)
+def _key() -> Column:
+    return F.xxhash64("doc_id", "text").alias("_key")
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """docs without the rows of these keys. Only rows whose key may be among them are shuffled."""
+    rows = maybe_in(docs.select(F.struct("*").alias("_row"), _key()), "_key", dropped)
+    return rows.where("not _maybe").select("_row.*").unionByName(rows.where("_maybe").join(dropped.distinct(), "_key", "left_anti").select("_row.*"))
 
 
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told; those without a letter go."""
-    keyed = _keyed(docs, "pipeline-language")
-    train = keyed.where(~held_out()).select("_key", "text", F.col("_row.lang").alias("lang"))
-    found = language_id(keyed.select("_key", "text"), train=train, id_col="_key")
-    return _kept(keyed, found.where(F.col("lang_pred") != UNKNOWN))
+    train = docs.where(~held_out()).select(_key(), "text", "lang")
+    found = language_id(docs.select(_key(), "text"), train=train, id_col="_key")
+    return _without(docs, Cuts(spark).cut(found.where(F.col("lang_pred") == UNKNOWN).select("_key"), "pipeline-no-language"))
+
+
+def _order() -> Column:
+    """Smallest ids first, null ids last."""
+    return F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), _key().alias("k")).alias("order")
 
 
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id, once."""
-    keyed = _keyed(docs, "pipeline-exact")
-    # the row's number breaks ties of repeated and null ids, which come last
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_key").alias("k"))
-    found = exact_duplicates(keyed.select(order.alias("order"), "text"), id_col="order")
-    return _kept(keyed, found.where("kept").select(F.col("order.k").alias("_key")))
+    cuts = Cuts(spark)
+    found = cuts.cut(exact_duplicates(docs.select(_order(), "text"), id_col="order").select(F.col("order.k").alias("_key"), "kept"), "pipeline-exact")
+    out = _without(docs, found.where("not kept").select("_key"))
+    again = cuts.cut(found.where("kept").groupBy("_key").count().where("count > 1").select("_key"), "pipeline-repeated")
+    if again.isEmpty():
+        return out
+    # rows that repeat an id and its text
+    rows = out.select(F.struct("*").alias("_row"), _key())
+    return rows.join(again, "_key", "left_anti").select("_row.*").unionByName(rows.join(again, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*"))
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that five-word shingles link at a similarity of 0.8 or more: that with the smallest id."""
-    keyed = _keyed(docs, "pipeline-near")
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_key").alias("k"))
-    found = near_duplicates(keyed.select(order.alias("order"), "text"), id_col="order")
-    return _kept(keyed, found.where("kept").select(F.col("order.k").alias("_key")))
+    found = near_duplicates(docs.select(_order(), "text"), id_col="order")
+    return _without(docs, Cuts(spark).cut(found.where("not kept").select(F.col("order.k").alias("_key")), "pipeline-near"))
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,10 +83,6 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return pack(docs.select("doc_id", "text"))
 
 
-def _kept(keyed: DataFrame, found: DataFrame) -> DataFrame:
-    return keyed.join(found.select("_key"), "_key", "left_semi").select("_row.*")
-
-
 STAGES = [("language ID", detect_language), ("exact dedup", drop_exact), ("near dedup", drop_near), ("passages", drop_passages), ("packing", pack_sequences)]
 
 #: No SQL can express the first, third and last stage; tests/llm holds them against brute force.

@@ -63,6 +63,10 @@ class Cuts:
             self.spark.conf.set(SHUFFLES, was)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep(self, *names: str) -> None:
+        """Drops all tables but these."""
+        self.drop(*(n for n in list(self.paths) if n not in names))
+
     def drop(self, *names: str) -> None:
         for name in names:
             delete(self.spark, self.paths.pop(name))

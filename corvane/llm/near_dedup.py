@@ -273,6 +273,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         level += 1
     least = classes.join(of, "c").groupBy("label").agg(F.min("rep").alias("component"))
     least = cuts.cut(of.join(least, "label").select("c", "component"), "near-components")
+    cuts.keep("near-signed", "near-components")
     out = signed.withColumn("c", F.when(F.col("n") > 0, F.col("c"))).select("id", "n", "c")
     empty = out.where("c is null").select("id", "n", F.col("id").alias("component"))
     out = out.where("c is not null").join(least, "c").select("id", "n", "component").union(empty)

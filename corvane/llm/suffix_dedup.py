@@ -336,6 +336,7 @@ def without_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH,
     """
     spark, cuts = df.sparkSession, Cuts(df.sparkSession)
     spans = cuts.cut(repeated_spans(df, cuts, text_col, length, gram, bits), "suffix-spans")
+    cuts.keep("suffix-spans")
     others = [c for c in df.columns if c != text_col]
     row = df.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"), F.xxhash64(text_col).alias("_text"), F.hash(text_col).alias("_check"), F.encode(whole(F.col(text_col)), "UTF-8").alias("raw"))
     row = maybe_in(row, "_text", spans.select(F.col("text").alias("_text")))
