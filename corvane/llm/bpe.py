@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from corvane.llm.common import PLAIN, ship, table
+from corvane.llm.common import PLAIN, hold, ship, table
 
 SHORT = 64
 CACHE_WORDS = 250_000
@@ -220,6 +220,7 @@ def bpe_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
+        hold("bpe", _loaded.clear)
         bpe = load(path)
         for b in batches:
             out: dict[str, list] = {r: [] for r in returns}

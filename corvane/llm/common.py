@@ -46,6 +46,16 @@ BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_holder: list = [None, None]
+
+
+def hold(name: str, clear) -> None:
+    """In a Python worker: the words that one operator keeps go when the next takes over, as workers outlive stages."""
+    if _holder[0] not in (None, name):
+        _holder[1]()
+    _holder[:] = [name, clear]
+
+
 class Cuts:
     """Tables written in the shared folder to cut lineage, each deletable once what needs it has been written."""
 

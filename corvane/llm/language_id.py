@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import ship, table, whole
+from corvane.llm.common import hold, ship, table, whole
 
 N_MAX = 4
 BUCKETS = 1 << 15
@@ -140,6 +140,7 @@ def language_id(df: DataFrame, train: DataFrame | None = None, id_col: str = "do
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
+        hold("language", lambda: None)
         names, weights = sent.value
         x = np.zeros((BATCH, BUCKETS), np.float32)
         for b in batches:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import Cuts, maybe_in, ship, table, whole
+from corvane.llm.common import Cuts, hold, maybe_in, ship, table, whole
 
 WIDTH, PERCENT = 5, 80
 BANDS = 32
@@ -198,6 +198,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = df.select(F.col(id_col).alias("id"), whole(F.col(text_col)).alias("t")).withColumn("row", F.xxhash64("id", "t"))
 
     def sign(batches):
+        hold("near", _words.clear)
         for b in batches:
             n, c, bands = [], [], []
             for t in b.column(2).to_pylist():

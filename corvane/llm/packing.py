@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import PLAIN, ship, table, whole
+from corvane.llm.common import PLAIN, hold, ship, table, whole
 
 SIZE = 1024
 GROUP_DOCS = 4096
@@ -152,6 +152,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
     kind = df.schema[id_col].dataType.simpleString()
 
     def tokens(batches):
+        hold("packing", _loaded.clear)
         t = load(path)
         width, end = t.kind.itemsize, np.array([SEPARATOR], t.kind).tobytes()
         for b in batches:

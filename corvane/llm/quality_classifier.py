@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import ship, table
+from corvane.llm.common import hold, ship, table
 
 BUCKETS = 1 << 14
 LEVELS = 12
@@ -157,6 +157,7 @@ def quality_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     sent = spark.sparkContext.broadcast(model)  # WIDTH x (FACTORS + 1) numbers
 
     def run(batches):
+        hold("quality", _buckets.clear)
         model = sent.value
         for b in batches:
             score = np.full(b.num_rows, flat)

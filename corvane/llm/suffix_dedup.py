@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import BATCH_ROWS, Cuts, maybe_in, ship, table, whole
+from corvane.llm.common import BATCH_ROWS, Cuts, hold, maybe_in, ship, table, whole
 
 LENGTH = 200
 GRAM = 96
@@ -270,6 +270,7 @@ def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: in
     for level, size in enumerate(LEVELS):
 
         def rows(batches):
+            hold("suffix", lambda: None)
             known = [x.value for x in bitmaps]
             for b in batches:
                 raw, bounds = _buffer(b.column(2))
