@@ -92,12 +92,14 @@ def threshold_sweep(spark, d):
     return rows.join(F.broadcast(cuts)).groupBy("cut").agg(F.sum("n").alias("n"), F.sum(F.when(cleared, F.col("n")).otherwise(0)).alias("cleared"), F.sum(F.when(cleared, F.col("s")).otherwise(0.0)).alias("seconds"))
 
 
-FLAGSHIP = "select s.source, t.tier, count(*) segments, sum(s.duration_sec) / 3600 as hours from fx_segments s join gd f on s.id = f.id join gtier t on s.id = t.id where f.pass and t.tier <> 'excluded' group by s.source, t.tier"
+FLAGSHIP = "select s.source, t.tier, coalesce(f.fail_reason, 'eligible') decision, count(*) segments, sum(s.duration_sec) / 3600 as hours from fx_segments s join gd f on s.id = f.id join gtier t on s.id = t.id group by all"
 
 
 def flagship(spark, d):
-    rows = fx(spark, d, "fx_segments").select("id", "source", "duration_sec").join(decided_rows(spark, d).where("pass").select("id"), "id").join(tier_rows(spark, d).where("tier <> 'excluded'").select("id", "tier"), "id")
-    return rows.groupBy("source", "tier").agg(F.count("*").alias("segments"), (F.sum("duration_sec") / 3600).alias("hours"))
+    """Segments and hours by source, tier, and what the gates decided: eligible for training, or why not."""
+    decided = decided_rows(spark, d).select("id", F.coalesce("fail_reason", F.lit("eligible")).alias("decision"))
+    rows = fx(spark, d, "fx_segments").select("id", "source", "duration_sec").join(decided, "id").join(tier_rows(spark, d).select("id", "tier"), "id")
+    return rows.groupBy("source", "tier", "decision").agg(F.count("*").alias("segments"), (F.sum("duration_sec") / 3600).alias("hours"))
 
 
 query("eligible_hours", with_fx(FLAGSHIP, **CTES))(flagship)

@@ -49,4 +49,5 @@ def test_entry():
 
 
 def test_flagship(spark, sf_dir):
-    assert registry.flagship(spark, sf_dir).columns == ["source", "tier", "segments", "hours"]
+    df = registry.flagship(spark, sf_dir)
+    assert df.columns == ["source", "tier", "decision", "segments", "hours"] and df.count() > 0
