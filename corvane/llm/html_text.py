@@ -2,8 +2,9 @@
 
 Each page's containers are scored by the text below them that is neither boilerplate nor link, and the page votes for the
 smallest container that holds nearly all of it, under its generalised path: tags with classes from the root down, numbers
-folded. Votes are counted per host in Spark, and each page is extracted from the container on the most voted path of
-its host that it has; its own best container serves where it has none.
+folded. An article (<article> or <main>) is left for a container in it only if that holds all of its text. Votes are counted
+per host in Spark, and each page is extracted from the container on the most voted path of its host that it has, or the whole
+of the article around it; its own best container serves where it has none.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from corvane.llm.common import Cuts, ship, table, whole
 
-#: The share of a container's text that a smaller one must hold to be taken in its place.
+#: The share of a page's text that a container outside an article must hold to be taken, and of what is around it one with an article.
 HOLD = 0.8
 #: A path counts for a host from this share of its votes on, so a host has 20 paths at most.
 MIN_SHARE = 0.05
@@ -27,6 +28,7 @@ BROADCAST_CHARS = 16_000_000
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = frozenset("article body center div html main section table tbody td tr".split())
+ARTICLES, HEADINGS = frozenset(["article", "main"]), frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose content is never text of the page, and those that are never part of an article.
 OPAQUE = frozenset("script style noscript template textarea svg math iframe object canvas audio video select button title".split())
 APART = frozenset("nav footer aside form head dialog menu search".split())
@@ -178,20 +180,60 @@ class Page:
             out[self.parent[i]] += out[i]
         return out
 
+    def standing(self) -> tuple[list[int], list[bool]]:
+        """For each element, the blocks below it that are text of the page (headings, and what is not all link), and whether one has it for its container."""
+        out, direct = [0] * len(self.parent), [False] * len(self.parent)
+        for element, text, linked in self.blocks:
+            if not self.apart[element] and (linked < len(text) or self.tag[element] in HEADINGS):
+                out[element] += 1
+                while element > 0 and self.tag[element] not in CONTAINERS:
+                    element = self.parent[element]
+                direct[element] = True
+        for i in range(len(out) - 1, 0, -1):
+            out[self.parent[i]] += out[i]
+        return out, direct
+
     def best(self, totals: list[int]) -> int:
-        """The smallest container with nearly all of the text; 0, the page, without any."""
+        """The smallest container with nearly all of the text, and all of its article's; 0, the page, without any."""
         children: dict[int, list[int]] = {}
-        for i in range(1, len(self.parent)):
+        holds = [False] * len(self.parent)
+        for i in range(len(self.parent) - 1, 0, -1):
             if self.tag[i] in CONTAINERS and not self.apart[i]:
                 children.setdefault(self.parent[i], []).append(i)
+                holds[i] = holds[i] or self.tag[i] in ARTICLES
+            holds[self.parent[i]] = holds[self.parent[i]] or holds[i]
+        stands, direct = self.standing()
         at = 0
         while at in children:
-            top = max(children[at], key=totals.__getitem__)
-            if totals[top] == 0 or totals[top] < HOLD * totals[at]:
+            top = max(reversed(children[at]), key=totals.__getitem__)
+            if totals[top] == 0:
+                break
+            if self.in_article[at]:
+                if stands[top] < stands[at]:
+                    break
+            elif holds[top]:
+                if totals[top] < HOLD * totals[at]:
+                    break
+            elif direct[at] or totals[top] < HOLD * totals[0]:
                 break
             at = top
         return at
 
+    def widen(self, root: int) -> int:
+        """The smallest container around root, or root, that leaves no text of its article beside, nor any that stands in a container around it other than the body."""
+        stands, direct = self.standing()
+        at = root
+        while at > 0:
+            at = self.parent[at]
+            if self.tag[at] in CONTAINERS and stands[at] > stands[root]:
+                if self.in_article[at]:
+                    root = at
+                elif self.in_article[root] or self.tag[at] in ("html", "body") or not direct[at]:
+                    break
+                else:
+                    root = at
+        return root
+
     def path(self, i: int) -> str:
         out = []
         while i > 0:
@@ -210,7 +252,7 @@ class Page:
                     p = self.path(i)
                     if p not in places or totals[i] > totals[places[p]]:
                         places[p] = i
-            root = next((places[p] for p in paths if p in places), root)
+            root = next((self.widen(places[p]) for p in paths if p in places), root)
         inside = [False] * len(self.parent)
         for i in range(len(self.parent)):
             inside[i] = i == root or (i > 0 and inside[self.parent[i]])

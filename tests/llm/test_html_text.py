@@ -43,3 +43,30 @@ def test_host_consensus(spark):
 
 def test_empty_table(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_text_beside_the_main_container_of_an_article():
+    long = f"<p>{P * 3}</p>"
+    body = (P * 3).strip()
+    assert text(page(f"<article><h1>Title</h1><div class='entry'>{long}</div></article>")) == f"Title\n{body}"
+    assert text(page(f"<article><h1><a href='/x'>Title</a></h1><div class='entry'>{long}</div></article>")) == f"Title\n{body}"
+    assert text(page(f"<main><section class='lead'><p>Lead.</p></section><div class='entry'>{long}</div><section><p>End.</p></section></main>")) == f"Lead.\n{body}\nEnd."
+    assert text(page(f"<article><p>Before.</p><table><tr><td>{P * 3}</td></tr></table><p>After.</p></article>")) == f"Before.\n{body}\nAfter."
+    assert text(page(f"<div class='post'><h1>Title</h1><div class='entry'>{long}</div></div>")) == f"Title\n{body}"
+    assert text(page(f"<article><div class='entry'>{long}</div><div class='list'><a href='/a'>other</a></div></article>")) == body
+
+
+def test_losses_of_levels_do_not_add_up():
+    at = f"<p>{'w ' * 400}</p>"
+    for k, n in enumerate((100, 125, 156)):
+        at = f"<div class='in{k}'>{at}</div><div class='by{k}'><p>{f'b{k} ' * (n * 2 // 3)}</p></div>"
+    got = text(page(f"<div class='wrap'>{at}</div>"))
+    assert "b0 b0" in got and "b1 b1" in got
+
+
+def test_votes_for_a_narrow_container_do_not_cut_an_article(spark):
+    narrow = page(f"<article><div class='entry'><p>{P}</p></div></article>")
+    wide = page(f"<article><h1>Title</h1><div class='entry'><p>{P}</p></div><section><p>End.</p></section></article>")
+    rows = [(i, f"http://h.example/{i}", narrow) for i in range(5)] + [(9, "http://h.example/9", wide)]
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == P.strip() and got[9] == f"Title\n{P.strip()}\nEnd."
