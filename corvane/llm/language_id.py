@@ -2,7 +2,7 @@
 
 The kernel of two texts is the blended-spectrum presence kernel: the number of character n-grams of 1 to N_MAX letters
 that both contain, over the root of the product of their own numbers. N-grams are counted as present in BUCKETS hash
-buckets. A bounded sample of labelled rows is fitted: LANDMARKS of them span the Nyström features
+buckets. A bounded sample of the labelled rows of every language is fitted: landmarks among them span the Nyström features
 K(x, landmarks) K(landmarks, landmarks)^-1/2, and kernel ridge regression finds one against the rest of each language.
 
 A score is K(x, landmarks) times the fitted weights. Both are products of presence vectors, so landmarks and weights are
@@ -13,16 +13,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from corvane.llm.common import hold, ship, table, whole
 
 N_MAX = 4
 BUCKETS = 1 << 15
-#: The sample that is fitted: so many rows of each language at most, of so many languages (the most frequent).
-ROWS_A_LANGUAGE, MAX_LANGUAGES = 300, 64
-LANDMARKS = 256
+#: The sample that is fitted: so many rows of each language at most; fewer where there would be over ROWS, but LEAST_ROWS still.
+ROWS_A_LANGUAGE, LEAST_ROWS, ROWS = 300, 16, 19_200
+#: Landmarks: the least number, so many a language beyond, and the most; but one of each language still, as it can't win without.
+LANDMARKS, LANDMARKS_A_LANGUAGE, MOST_LANDMARKS = 256, 4, 2048
 RIDGE = 0.05
 BATCH = 64
 UNKNOWN = "und"
@@ -71,17 +73,17 @@ def presence(text: str, into: np.ndarray) -> bool:
 
 
 def _sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, and the presence bits and language numbers of the sampled rows."""
-    langs = df.groupBy(lang_col).agg(F.count("*").alias("c")).orderBy(F.desc("c"), lang_col).limit(MAX_LANGUAGES).collect()
+    """Languages, and the presence bits (packed) and language numbers of the sampled rows."""
+    langs = df.groupBy(lang_col).agg(F.count("*").alias("c")).collect()
     if not langs:
-        return [], np.zeros((0, BUCKETS), np.uint8), np.zeros(0, int)
+        return [], np.zeros((0, BUCKETS // 8), np.uint8), np.zeros(0, int)
+    most = min(ROWS_A_LANGUAGE, max(LEAST_ROWS, ROWS // len(langs)))
     # a share of each language that holds about one and a half times the rows wanted, by a hash of the row; then the first of those
+    shares = [(r[lang_col], min(1.0, (1.5 * most + 30) / r["c"])) for r in langs]
+    limits = df.sparkSession.createDataFrame([(lang, int(share * (1 << 30)) + (share == 1.0)) for lang, share in shares], StructType([StructField("lang", df.schema[lang_col].dataType), StructField("below", LongType())]))
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("language sample")), F.lit(1 << 30))
-    chosen = F.lit(False)
-    for r in langs:
-        share = min(1.0, (1.5 * ROWS_A_LANGUAGE + 30) / r["c"])
-        chosen = chosen | ((F.col(lang_col) == r[lang_col]) & (draw < int(share * (1 << 30)) + (share == 1.0)))
-    picked = df.where(chosen).select(F.col(lang_col).alias("lang"), draw.alias("draw"), F.crc32(F.encode(text_col, "UTF-8")).alias("tie"), F.col(text_col).alias("text"))
+    picked = df.select(F.col(lang_col).alias("lang"), draw.alias("draw"), F.crc32(F.encode(text_col, "UTF-8")).alias("tie"), F.col(text_col).alias("text"))
+    picked = picked.join(F.broadcast(limits), "lang").where("draw < below").select("lang", "draw", "tie", "text")  # a row a language
 
     def bits(batches):
         for b in batches:
@@ -91,37 +93,41 @@ def _sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[l
                 rows.append(np.packbits(x).tobytes() if presence(t, x) else None)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(rows, pa.binary())], names=["lang", "draw", "tie", "bits"])
 
-    rows = [r for r in picked.mapInArrow(bits, "lang string, draw long, tie long, bits binary").collect() if r["bits"] is not None]
-    rows.sort(key=lambda r: (r["draw"], r["tie"], r["lang"]))
-    names = sorted({r["lang"] for r in rows})
-    taken, used = [], dict.fromkeys(names, 0)
-    for r in rows:
-        if used[r["lang"]] < ROWS_A_LANGUAGE:
-            used[r["lang"]] += 1
-            taken.append(r)
-    x = np.array([np.frombuffer(r["bits"], np.uint8) for r in taken]).reshape(len(taken), BUCKETS // 8)
-    return names, np.unpackbits(x, axis=1), np.array([names.index(r["lang"]) for r in taken], int)
+    read = picked.mapInArrow(bits, "lang string, draw long, tie long, bits binary").where("bits is not null")
+    taken = read.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "tie"))).where(F.col("k") <= most).collect()
+    taken.sort(key=lambda r: (r["draw"], r["tie"], r["lang"]))
+    names = sorted({r["lang"] for r in taken})
+    number = {lang: k for k, lang in enumerate(names)}
+    x = np.frombuffer(b"".join([r["bits"] for r in taken]), np.uint8).reshape(len(taken), BUCKETS // 8)
+    return names, x, np.array([number[r["lang"]] for r in taken], int)
+
+
+def _bits(x: np.ndarray) -> np.ndarray:
+    return (x if x.shape[1] == BUCKETS else np.unpackbits(x, axis=1)).astype(np.float32)
 
 
 def fit(x: np.ndarray, y: np.ndarray, n_langs: int) -> np.ndarray:
-    """The weights of each bucket for each language, from presence bits and language numbers; float32."""
-    size = np.sqrt(np.maximum(x.sum(1), 1).astype(np.float32))
+    """The weights of each bucket for each language, from presence bits (packed or not) and language numbers; float32."""
     # landmarks are dealt over the languages in turn
     turn = np.empty(len(y), int)
     for k in range(n_langs):
         turn[y == k] = np.arange((y == k).sum())
-    at = np.lexsort((y, turn))[:LANDMARKS]
-    marks = x[at].astype(np.float32) / size[at, None]
-    k_xm = np.concatenate([x[k : k + BATCH].astype(np.float32) @ marks.T for k in range(0, len(x), BATCH)]) / size[:, None]
-    w, v = np.linalg.eigh(k_xm[at].astype(np.float64))
+    at = np.lexsort((y, turn))[: max(n_langs, min(MOST_LANDMARKS, max(LANDMARKS, LANDMARKS_A_LANGUAGE * n_langs)))]
+    unit = lambda rows: rows / np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1))
+    marks = np.concatenate([unit(_bits(x[at[k : k + BATCH]])) for k in range(0, len(at), BATCH)])
+    k_mm = marks @ marks.T
+    w, v = np.linalg.eigh(k_mm.astype(np.float64))
     half = (v * np.where(w > 1e-6, 1 / np.sqrt(np.maximum(w, 1e-6)), 0)) @ v.T
-    features = k_xm @ half
-    target = np.full((len(y), n_langs), 0.0)
-    target[np.arange(len(y)), y] = 1.0
-    weight = np.array([1.0 / max(1, (y == k).sum()) for k in range(n_langs)])[y][:, None]
+    weight = 1.0 / np.maximum(1, np.bincount(y, minlength=n_langs))[y]
     weight *= len(y) / weight.sum()
-    ridge = np.linalg.solve(features.T @ (weight * features) + RIDGE * np.eye(features.shape[1]), features.T @ (weight * target))
-    return (marks.T @ (half @ ridge)).astype(np.float32)
+    square, target = RIDGE * np.eye(len(at)), np.zeros((n_langs, len(at)))
+    for k in range(0, len(x), BATCH):
+        features = (unit(_bits(x[k : k + BATCH])) @ marks.T) @ half
+        weighted = weight[k : k + BATCH, None] * features
+        square += features.T @ weighted
+        np.add.at(target, y[k : k + BATCH], weighted)
+    weights = half @ np.linalg.solve(square, target.T)
+    return np.concatenate([(marks[:, k : k + 4096].T @ weights).astype(np.float32) for k in range(0, BUCKETS, 4096)])
 
 
 def language_id(df: DataFrame, train: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -136,7 +142,7 @@ def language_id(df: DataFrame, train: DataFrame | None = None, id_col: str = "do
     train = train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, text_col, lang_col)
     names, x, y = _sample(train, id_col, text_col, lang_col)
     weights = fit(x, y, len(names)) if names else np.zeros((BUCKETS, 0), np.float32)
-    sent = df.sparkSession.sparkContext.broadcast((names, weights))  # BUCKETS x MAX_LANGUAGES numbers at most: 8 MB
+    sent = df.sparkSession.sparkContext.broadcast((names, weights))  # BUCKETS numbers a language: 128 KB
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -55,6 +55,36 @@ def test_held_out_accuracy(spark):
     assert sum(r["lang_pred"] == docs[r["doc_id"]] for r in got) >= 0.98 * len(got)
 
 
+def many_languages(n):
+    """Two rows to learn and one to tell of each of n languages; each has its own words of 3 of 20 letters."""
+    rng = np.random.default_rng(3)
+    train, rows = [], []
+    for k in range(n):
+        words = ["".join(rng.choice(list("abcdefghijklmnoprstu"), 3)) for _ in range(12)]
+        say = lambda: " ".join(rng.choice(words, 40))  # noqa: E731, B023
+        train += [(f"{k}-{i}", say(), f"l{k:03}") for i in range(2 + (k < 70))]
+        rows.append((k, say(), f"l{k:03}"))
+    return train, rows
+
+
+def test_every_language_is_learned(spark):
+    train, rows = many_languages(90)
+    table = spark.createDataFrame([(i, t, lang) for i, (_, t, lang) in enumerate(train)], "doc_id long, text string, lang string")
+    got = L.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string"), train=table).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {k: lang for k, _, lang in rows}
+
+
+def test_each_language_has_a_landmark(monkeypatch):
+    monkeypatch.setattr(L, "MOST_LANDMARKS", 8)
+    train, rows = many_languages(40)
+    x = np.zeros((len(train) + len(rows), L.BUCKETS), np.uint8)
+    for (_, t, _), into in zip(train + rows, x):
+        L.presence(t, into)
+    y = np.array([int(lang[1:]) for _, _, lang in train])
+    for learned in (x[: len(train)], np.packbits(x[: len(train)], axis=1)):
+        assert (x[len(train) :].astype(np.float32) @ L.fit(learned, y, 40)).argmax(1).tolist() == list(range(40))
+
+
 def test_sum_of_squares_is_all_pairs():
     rng = np.random.default_rng(2)
     w, v = rng.random(Q.WIDTH), rng.random((Q.WIDTH, Q.FACTORS))
