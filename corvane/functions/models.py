@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -50,24 +51,11 @@ def infer(rows: DataFrame, name: str, batch: int = 64) -> DataFrame:
 
 def lexicon_reader(lexicon: dict[str, str]):
     """A UDF that reads a text by the longest entries of a lexicon; what has none is passed over."""
-    longest = max(map(len, lexicon), default=0)
+    words = sorted(filter(None, lexicon), key=len, reverse=True)
+    find = re.compile("|".join(map(re.escape, words)), re.S).findall if words else lambda t: []
 
     @F.pandas_udf("string")
     def read(s: pd.Series) -> pd.Series:
-        def one(t: str | None) -> str | None:
-            if t is None:
-                return None
-            out, at = [], 0
-            while at < len(t):
-                for size in range(longest, 0, -1):
-                    if (w := t[at : at + size]) in lexicon and len(w) == size:
-                        out.append(lexicon[w])
-                        at += size
-                        break
-                else:
-                    at += 1
-            return " ".join(out)
-
-        return s.map(one)
+        return s.map(lambda t: None if t is None else " ".join([lexicon[w] for w in find(t)]))
 
     return read

@@ -215,4 +215,4 @@ def decode_stub(spark, d):
 def g2p_stub(spark, d):
     from corvane.functions.models import lexicon_reader
 
-    return load(spark, d, "documents").select("doc_id", lexicon_reader({"th": "t6", "er": "o1", "the": "di1"})(F.substring("text", 1, 60)).alias("reading"))
+    return load(spark, d, "documents").select("doc_id", lexicon_reader({"th": "t6", "er": "o1", "the": "di1"})(F.col("text")).alias("reading"))
