@@ -136,15 +136,27 @@ def text_pairs(spark, d):
     return g.select("id", F.col("x.model").alias("m1"), F.explode(F.expr("slice(candidates, i + 2, size(candidates))")).alias("y")).select("id", "m1", F.col("y.model").alias("m2"))
 
 
+def _candidates(spark, d):
+    """The results of fx_asr_results with whole texts, which the other models vary by replacement."""
+    n, text = F.col("doc_id"), F.col("text")
+    said = [
+        ("alpha", F.lit(True), text, n * 17 % 100 / 100),
+        ("beta", n % 10 != 1, F.when(n % 9 == 0, "").otherwise(F.replace(text, F.lit("th"), F.lit("d"))), n * 19 % 100 / 100),
+        ("gamma", n % 4 == 0, F.replace(text, F.lit("en"), F.lit("em")), F.lit(1.0)),
+    ]
+    rows = F.array(*(F.when(there, F.struct(F.lit(m).alias("model"), t.alias("text"), c.alias("confidence"))) for m, there, t, c in said))
+    return load(spark, d, "documents").select(F.concat(F.lit("s"), n).alias("id"), F.inline(F.filter(rows, lambda x: x.isNotNull())))
+
+
 @query("char_agreement")
 def char_agreement(spark, d):
-    g = A.grouped(fx(spark, d, "fx_asr_results"))
+    g = A.grouped(_candidates(spark, d))
     return g.select("id", A.char_agreement(F.transform("candidates", lambda x: T.normalize_text(x["text"]))).alias("agreement"))
 
 
 @query("agreement_row")
 def agreement_row(spark, d):
-    return A.agreement_rows(fx(spark, d, "fx_asr_results"), retired=("gamma",))
+    return A.agreement_rows(_candidates(spark, d), retired=("gamma",))
 
 
 @query("edit_distance", "select d.doc_id, cast(levenshtein(substr(b.text, 1, 20), substr(b.text, 3, 20)) as bigint) dist from documents d join benchmark b on d.doc_id = b.item_id where regexp_full_match(b.text, '[ -~\\n]*')")
