@@ -20,7 +20,8 @@ from corvane.llm.common import WS_CHARS, Cuts, table, whole
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SUPPORT = 0.75
 STEPS = 4
-#: Groups of fewer rows are pooled by language, then with all others; too few of those have no estimate and stay.
+#: Groups of fewer rows are pooled by language; if that is too few, they are judged by all rows of their language, then by what is left
+#: of all languages, then by all rows of the table. Only where those are fewer too is there no estimate, and all rows stay.
 MIN_ROWS = 200
 BINS, MAX_BIN = 64, 4095
 #: Estimates (about 300 bytes each) are broadcast up to so many groups, and joined by a shuffle beyond.
@@ -156,15 +157,24 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = cuts.cut(rows.withColumn("base_failed", failed).select("*", *_vector()), "quality-statistics")
     name = lambda *c: F.to_json(F.array(*(F.coalesce(F.concat(F.lit("="), x), F.lit("null")) for x in c)))
     sized = rows.where(~F.col("base_failed")).groupBy("_lang", "_source").agg(F.count("*").alias("c"))
-    fine, pooled = F.col("c") >= MIN_ROWS, F.sum(F.when(F.col("c") < MIN_ROWS, F.col("c"))).over(Window.partitionBy("_lang")) >= MIN_ROWS
-    sized = sized.select(F.col("_lang").alias("_l"), F.col("_source").alias("_s"), F.when(fine, name(F.col("_lang"), F.col("_source"))).when(pooled, name(F.col("_lang"))).otherwise("all").alias("_group"))
+    small, of_language = (F.sum(x).over(Window.partitionBy("_lang")) for x in (F.when(F.col("c") < MIN_ROWS, F.col("c")).otherwise(0), F.col("c")))
+    fine, language = F.col("c") >= MIN_ROWS, name(F.col("_lang"))
+    sized = sized.withColumn("_small", small).withColumn("_own", F.when(fine, name(F.col("_lang"), F.col("_source"))).when(of_language >= MIN_ROWS, language).otherwise("all"))
+    sized = cuts.cut(sized, "quality-sizes")
+    left = sized.agg(F.coalesce(F.sum(F.when(F.col("_own") == "all", F.col("c"))), F.lit(0)).alias("_left"))  # one row
+    # estimates that lack rows of their own take in those of other groups, which are judged by their own
+    lends = lambda to_few, group: F.when(to_few & (F.col("_own") != group), group)
+    to_language, to_all = (F.col("_small") > 0) & (F.col("_small") < MIN_ROWS) & fine, (F.col("_left") > 0) & (F.col("_left") < MIN_ROWS)
+    groups = F.array_compact(F.array("_own", lends(to_language, language), lends(to_all, F.lit("all"))))
+    sized = sized.crossJoin(F.broadcast(left)).select(F.col("_lang").alias("_l"), F.col("_source").alias("_s"), groups.alias("_groups"))
     good = rows.where(~F.col("base_failed")).join(sized, F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s")))
-    good = cuts.cut(good.select("_id", "_group", *STATS, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"), "quality-groups")
+    good = good.select("_id", F.posexplode("_groups").alias("_lent", "_group"), *STATS, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    good = cuts.cut(good, "quality-groups")
     est = cuts.cut(_start(good), "quality-start")
     for k in range(STEPS):
         est = cuts.cut(_step(good, est), f"quality-step-{k}")
     enough = good.groupBy("_group").agg(F.count("*").alias("c")).where(F.col("c") >= MIN_ROWS).select("_group")
-    judged = _distance(good, cuts.cut(est.join(enough, "_group", "left_semi"), "quality-estimates"))
+    judged = _distance(good.where("_lent = 0"), cuts.cut(est.join(enough, "_group", "left_semi"), "quality-estimates"))
     columns = [F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = judged.select(*columns, F.coalesce(F.col("_d2") <= cutoff, F.lit(True)).alias("kept"), F.col("_d2").alias("distance"))
     return judged.unionByName(rows.where("base_failed").select(*columns, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance")))

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -46,6 +47,19 @@ def test_small_and_null_groups_have_a_result(docs):
     assert [r["kept"] for r in got] == [True] * 4
 
 
+def test_few_rows_are_judged_by_a_wider_estimate(docs):
+    draw = random.Random(5)
+    plain = lambda: " ".join("".join(draw.choices("abcdefghijklmnop", k=draw.randint(2, 9))) for _ in range(80)) + "."
+    odd = lambda: plain().replace(" ", " #%*& ")
+    rows = [(k, plain(), "en", "large") for k in range(250)]
+    few = [(lang, source) for lang in ("en", "fr", None) for source in ("a", None)]
+    rows += [(1000 + 10 * i + k, odd() if k == 0 else plain(), *g) for i, g in enumerate(few) for k in range(4)]
+    got = {r["doc_id"]: r for r in quality_rules(docs(rows)).collect()}
+    assert len(got) == len(rows) and all(r["distance"] is not None for r in got.values())
+    assert [got[1000 + 10 * i]["kept"] for i in range(len(few))] == [False] * len(few)
+    assert all(got[1000 + 10 * i + k]["kept"] for i in range(len(few)) for k in (1, 2, 3))
+
+
 def test_empty_table(docs):
     assert quality_rules(docs([])).collect() == []
 
