@@ -111,9 +111,30 @@ def run_many(catalog: Catalog, names: list[str]) -> list[dict]:
     written = [NODES[n].writes for n in names]
     if len(set(written)) != len(written):
         raise ValueError(f"{names} write one table")
-    with ThreadPoolExecutor(len(names)) as pool:
-        made = list(pool.map(lambda n: (n, catalog.upsert(NODES[n].writes, NODES[n].compute(catalog, NODES[n].due(catalog)))), names))
-    return [{"node": n, "rows": rows} for n, rows in made]
+    runs = {n: f"{n.replace('.', '_')}_{uuid.uuid4().hex[:12]}" for n in names}
+    made = {}
+
+    def run(n: str) -> int:
+        made[n] = NODES[n].compute(catalog, NODES[n].due(catalog)).persist()
+        return catalog.upsert(NODES[n].writes, made[n])
+
+    out, failed = [], None
+    try:
+        with ThreadPoolExecutor(len(names)) as pool:
+            done = {n: pool.submit(run, n) for n in names}
+        for n, f in done.items():
+            if error := f.exception():
+                failed = failed or error
+                continue
+            if f.result():
+                catalog.journal(runs[n], n, made[n].select("id"))
+            out.append({"node": n, "run_id": runs[n], "rows": f.result()})
+    finally:
+        for m in made.values():
+            m.unpersist()
+    if failed:
+        raise failed
+    return out
 
 
 def run_chain(catalog: Catalog, only: list[str] | None = None, skip: tuple[str, ...] = (), dry_run: bool = False) -> list[dict]:

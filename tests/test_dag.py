@@ -51,3 +51,13 @@ def test_nodes_that_wait_for_each_other():
     node = lambda w, r: dag.Node(w, (r,), None, None)
     with pytest.raises(ValueError):
         dag.rounds({"a": node("x", "y"), "b": node("y", "x")})
+
+
+def test_many_are_journaled(spark, catalog):
+    catalog.upsert("asr_results", spark.createDataFrame([("d", m, "我哋", 0.9) for m in ("x", "y")], "id string, model string, text string, confidence double"))
+    before = catalog.read("task_runs").count()
+    ran = {r["node"]: r for r in dag.run_many(catalog, ["asr.agreement", "tier.assign"])}
+    assert ran["asr.agreement"]["rows"] == 1
+    rows = [(r["run_id"], r["node"], r["item_id"]) for r in catalog.read("task_runs").collect()]
+    assert len(rows) == before + sum(r["rows"] for r in ran.values())
+    assert (ran["asr.agreement"]["run_id"], "asr.agreement", "d") in rows
