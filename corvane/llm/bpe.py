@@ -3,7 +3,8 @@
 A short word is held as its parts and, beside them, the merge ranks of adjacent parts. The least rank is found by a
 scan, its boundary deleted, and the ranks on both sides refreshed. Words of similar length go through this together, as
 rows of one matrix. Words over SHORT bytes, where scanning again and again would be quadratic, take a heap of ranks
-over linked parts, with the same result. Each worker keeps what it has encoded, up to CACHE_WORDS distinct words.
+over linked parts, with the same result. Each worker keeps what it has encoded, about CACHE_WORDS distinct words in each of
+two halves, of which the older goes when the newer is full.
 """
 
 from __future__ import annotations
@@ -14,16 +15,17 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from corvane.llm.common import PLAIN, hold, ship, table
+from corvane.llm.common import PLAIN, keeps, ship, table
 
 SHORT = 64
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -66,6 +68,7 @@ class WordBPE:
         self.made = np.r_[np.array([self.vocab[a + b] for a, b in merges], np.int32)[order[keep]], np.int32(0)]
         self.pair = {int(k): (int(r), int(m)) for k, r, m in zip(self.keys[:-1], self.rank, self.made)} if len(keys) else {}
         self.cache: dict[str, tuple[int, str, str, list[int]]] = {}
+        self.older: dict[str, tuple[int, str, str, list[int]]] = {}
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = a.astype(np.int64) << 32 | b
@@ -132,8 +135,6 @@ class WordBPE:
         return [p for p, x in zip(parts, alive) if x]
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
         by_size: dict[int, list[tuple[str, bytes]]] = {}
         for w in words:
             by_size.setdefault(len(b := w.encode()), []).append((w, b))
@@ -168,11 +169,14 @@ class WordBPE:
         """For each text, its words as (ids, the ids in decimal, the tokens, the ids)."""
         for k in range(0, len(texts), 64):
             split = [self.split(t) for t in texts[k : k + 64]]
-            if new := {w for words in split for w in words if w.__class__ is str and w not in self.cache}:
-                self._learn(list(new))
-                new = {w for words in split for w in words if w.__class__ is str and w not in self.cache}
-                if new:  # the cache was emptied for these
-                    self._learn(list(new))
+            words = set(chain.from_iterable(split)).difference(self.special.values())
+            if new := words.difference(self.cache):
+                if len(self.cache) + len(new) > CACHE_WORDS:  # words in use come back from the older half; those of a step are all kept for it
+                    self.older, self.cache = self.cache, {}
+                    new = words
+                known = {w: self.older[w] for w in new if w in self.older}
+                self.cache.update(known)
+                self._learn(list(new.difference(known)))
             get = self.cache.__getitem__
             for words in split:
                 try:
@@ -191,6 +195,10 @@ class WordBPE:
 _loaded: dict[str, WordBPE] = {}
 
 
+def release() -> None:
+    _loaded.clear()
+
+
 def load(path: str) -> WordBPE:
     if path not in _loaded:
         _loaded[path] = WordBPE(path)
@@ -204,7 +212,7 @@ def _hex(x: str) -> str:
 def bpe_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, returns: tuple[str, ...] = ("n_tokens", "ids", "decoded")) -> DataFrame:
     """(id, and of n_tokens, ids, decoded, ids_sha256, decoded_sha256 those in `returns`) for each row of df.
 
-    Null texts are empty: no ids, and the decoded text is empty. Rows are independent, so repeated rows, ties and null
+    Null texts are empty: no ids, and the decoded text is empty. Texts of any length and of any number of words are encoded whole. Rows are independent, so repeated rows, ties and null
     ids give a row each. Other columns are not read. `decoded` is the decoding of the ids.
     """
     path = path or default_path()
@@ -219,8 +227,8 @@ def bpe_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
     ship(df.sparkSession)
     id_type = df.schema[id_col].dataType.simpleString()
 
+    @keeps("bpe")
     def run(batches):
-        hold("bpe", _loaded.clear)
         bpe = load(path)
         for b in batches:
             out: dict[str, list] = {r: [] for r in returns}

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
+import sys
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,12 +32,14 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of this machine's only where that is unset, as in tests."""
+    """The folder in spark.checkpoint.dir; one of this machine's only where that is unset and all runs on this machine, as in tests."""
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not at:
         at = sc.getCheckpointDir()
     if not at:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: executors need a folder that all of them see")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="corvane-"))
         at = sc.getCheckpointDir()
     return at.rstrip("/")
@@ -46,14 +53,59 @@ BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-_holder: list = [None, None]
+#: Seconds after its last task in which a Python worker that has nothing to do gives back what its operator keeps.
+IDLE_SECONDS = 3.0
+_lock, _worker = threading.Lock(), {"name": None, "busy": False, "turn": 0}
 
 
-def hold(name: str, clear) -> None:
-    """In a Python worker: the words that one operator keeps go when the next takes over, as workers outlive stages."""
-    if _holder[0] not in (None, name):
-        _holder[1]()
-    _holder[:] = [name, clear]
+def _release(name: str | None) -> None:
+    """Calls `release` of the operator's module: it drops what that keeps between tasks. Freed memory goes to the system."""
+    module = sys.modules.get(f"corvane.llm.{name}")
+    if module is None:
+        return
+    module.release()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def _begin(name: str) -> None:
+    with _lock:
+        if _worker["name"] not in (None, name):
+            _release(_worker["name"])
+        _worker.update(name=name, busy=True, turn=_worker["turn"] + 1)
+
+
+def _end() -> None:
+    with _lock:
+        _worker["busy"] = False
+        timer = threading.Timer(IDLE_SECONDS, _idle, [_worker["turn"]])
+    timer.daemon = True
+    timer.start()
+
+
+def _idle(turn: int) -> None:
+    with _lock:
+        if not _worker["busy"] and _worker["turn"] == turn:
+            _release(_worker["name"])
+            _worker["name"] = None
+
+
+def keeps(name: str):
+    """For functions over batches in Python workers, which outlive stages: what the operator's module keeps for its next task
+    goes when another operator takes the worker over, or once the worker is idle."""
+
+    def wrap(f):
+        def run(batches):
+            _begin(name)
+            try:
+                yield from f(batches)
+            finally:
+                _end()
+
+        return run
+
+    return wrap
 
 
 class Cuts:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from corvane.llm.common import hold, ship, table, whole
+from corvane.llm.common import keeps, ship, table, whole
 
 N_MAX = 4
 BUCKETS = 1 << 15
@@ -44,6 +44,10 @@ def letters() -> np.ndarray:
     return _letters[0]
 
 
+def release() -> None:
+    _letters.clear()
+
+
 def presence(text: str, into: np.ndarray) -> bool:
     """Sets the buckets of the text's n-grams in `into`; False if the text has no letter.
 
@@ -85,6 +89,7 @@ def _sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[l
     picked = df.select(F.col(lang_col).alias("lang"), draw.alias("draw"), F.crc32(F.encode(text_col, "UTF-8")).alias("tie"), F.col(text_col).alias("text"))
     picked = picked.join(F.broadcast(limits), "lang").where("draw < below").select("lang", "draw", "tie", "text")  # a row a language
 
+    @keeps("language_id")
     def bits(batches):
         for b in batches:
             rows = []
@@ -145,8 +150,8 @@ def language_id(df: DataFrame, train: DataFrame | None = None, id_col: str = "do
     sent = df.sparkSession.sparkContext.broadcast((names, weights))  # BUCKETS numbers a language: 128 KB
     kind = df.schema[id_col].dataType.simpleString()
 
+    @keeps("language_id")
     def run(batches):
-        hold("language", lambda: None)
         names, weights = sent.value
         x = np.zeros((BATCH, BUCKETS), np.float32)
         for b in batches:

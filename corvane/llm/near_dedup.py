@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import Cuts, hold, maybe_in, ship, table, whole
+from corvane.llm.common import Cuts, keeps, maybe_in, ship, table, whole
 
 WIDTH, PERCENT = 5, 80
 BANDS = 32
@@ -55,6 +55,10 @@ def rows_of(percent: int) -> int:
     return 6 if percent >= 85 else 4
 
 
+def release() -> None:
+    _words.clear()
+
+
 def shingles(text: str, width: int) -> np.ndarray:
     """The distinct hashes, in order, of the runs of `width` words; of fewer words, the one of all; none without words."""
     words = text.encode().translate(_LOWER).split()  # of bytes: at space and tab to carriage return
@@ -197,8 +201,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kind = df.schema[id_col].dataType.simpleString()
     docs = df.select(F.col(id_col).alias("id"), whole(F.col(text_col)).alias("t")).withColumn("row", F.xxhash64("id", "t"))
 
+    @keeps("near_dedup")
     def sign(batches):
-        hold("near", _words.clear)
         for b in batches:
             n, c, bands = [], [], []
             for t in b.column(2).to_pylist():
@@ -219,6 +223,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cuts.drop("near-buckets")
     wanted = cuts.cut(classes.join(left.select("c").distinct(), "c", "left_semi").select("c", F.col("row")), "near-wanted")
 
+    @keeps("near_dedup")
     def full(batches):
         for b in batches:
             found = [shingles(t, width) for t in b.column(1).to_pylist()]

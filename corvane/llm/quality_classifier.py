@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import hold, ship, table
+from corvane.llm.common import keeps, ship, table
 
 BUCKETS = 1 << 14
 LEVELS = 12
@@ -46,6 +46,11 @@ def kinds() -> np.ndarray:
     return _kinds[0]
 
 
+def release() -> None:
+    _buckets.clear()
+    _kinds.clear()
+
+
 def features(text: str, n_chars: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and values of a text's features: distinct words, each statistic, and the level of each statistic."""
     words = text.split()
@@ -125,7 +130,7 @@ def quality_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """(id, score, predicted) for each row of df, learned from `labels` (id, label 0 or 1; of a repeated id the least).
 
     Null and empty texts have their statistics as features and are scored like any other. Without labels of both kinds
-    every score is 0.5, or the one label. Rows are scored each for itself, so repeated rows agree. Null labels are left
+    every score is 0.5, or the one label. Of rows that repeat a labelled id one is learned from. A text of any length is read whole. Rows are scored each for itself, so repeated rows agree. Null labels are left
     out; other columns are not read.
     """
     ship(df.sparkSession)
@@ -141,13 +146,15 @@ def quality_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         ids = [(r[id_col], r["_label"], r["_draw"]) for r in picked.orderBy("_draw", id_col).limit(4 * ROWS_A_CLASS).collect()]
         chosen = spark.createDataFrame(ids, f"`{id_col}` {kind}, _label int, _draw long")  # a bounded sample
 
+        @keeps("quality_classifier")
         def bits(batches):
             for b in batches:
                 out = [features(t or "", n) for t, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), pa.array([x[0].astype(np.int32).tobytes() for x in out], pa.binary()), pa.array([x[1].tobytes() for x in out], pa.binary())], names=["_label", "_draw", "at", "x"])
 
         found = df.select(id_col, F.col(text_col), meta).join(F.broadcast(chosen), id_col).select(text_col, "_meta", "_label", "_draw")
-        rows = found.mapInArrow(bits, "_label int, _draw long, at binary, x binary").collect()
+        # of rows that share a drawn id one, so that a hot id does not fill the driver
+        rows = found.mapInArrow(bits, "_label int, _draw long, at binary, x binary").groupBy("_draw", "_label").agg(F.min(F.struct("at", "x")).alias("r")).select("_draw", "_label", "r.*").collect()
         rows = sorted(rows, key=lambda r: (r["_draw"], r["_label"], r["at"], r["x"]))
         rows = [r for k in (0, 1) for r in [r for r in rows if r["_label"] == k][:ROWS_A_CLASS]]
         model = fit([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["x"], np.float32)) for r in rows], np.array([r["_label"] for r in rows]), counts[1] / (counts[0] + counts[1])) if rows else None
@@ -156,8 +163,8 @@ def quality_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     flat = float(next(iter(counts))) if len(counts) == 1 else 0.5
     sent = spark.sparkContext.broadcast(model)  # WIDTH x (FACTORS + 1) numbers
 
+    @keeps("quality_classifier")
     def run(batches):
-        hold("quality", _buckets.clear)
         model = sent.value
         for b in batches:
             score = np.full(b.num_rows, flat)

@@ -54,10 +54,32 @@ def test_bpe_table(spark, docs):
     assert bpe.bpe_table(docs([])).collect() == []
 
 
+def test_a_step_with_more_new_words_than_are_kept(monkeypatch):
+    """Words that were kept before a step are still there when its new ones fill the cache."""
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 50)
+    own, t = bpe.WordBPE(), library("word_bpe_49k.json")
+    texts = ["hello there", " ".join(f"w{i}x" for i in range(400)) + " hello there", "hello again " + " ".join(f"v{i}" for i in range(60)), "<|endoftext|> hello w7x"]
+    for x in [*texts, *texts[::-1]]:
+        assert own.encode(x) == t.encode(x, add_special_tokens=False).ids
+    assert [[e[3] for e in text] for text in own.entries(texts)] == [[own.encode(w) for w in own.split(x) if isinstance(w, str)] if i < 3 else [[49407], own.encode("hello"), *[[k] for k in ()], *[own.encode(w) for w in own.split("w7x")]] for i, x in enumerate(texts)]
+
+
 def test_packing_ids_are_the_library_s(corpus):
     t, own = library("byte_bpe_50k.json"), packing.load(packing.default_path())
-    for x, ids in zip(corpus, own.encode(corpus)):
-        assert np.frombuffer(ids, own.kind).tolist() == t.encode(x, add_special_tokens=False).ids
+    assert own.core is not None
+    for x in [*corpus, "a\n\n", " " * 3, "x  \t ", "I've 've'll 'S a's", "\u3000 \u3000x", "a" * 5000, " " * 5000 + "b"]:
+        assert own.ids(x) == t.encode(x, add_special_tokens=False).ids
+
+
+def test_packing_leaves_what_it_cannot_read_to_the_library(tmp_path):
+    """A run of white space that is too long for the split, and a file of another kind."""
+    t, own = library("byte_bpe_50k.json"), packing.Tokens(packing.default_path())
+    x = "a" + " " * 1_500_000 + "b"
+    assert own.ids(x) == t.encode(x, add_special_tokens=False).ids
+    import public_tokenizers
+
+    words, own = library("word_bpe_49k.json"), packing.Tokens(public_tokenizers.path("word_bpe_49k.json"))
+    assert own.core is None and own.ids("Hello, World's") == words.encode("Hello, World's", add_special_tokens=False).ids
 
 
 def test_first_fit_decreasing_is_first_fit():
