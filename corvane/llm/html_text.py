@@ -53,9 +53,10 @@ class Page:
     """The block elements of a page (parent, path, whether boilerplate) and its blocks of text with the element they are in."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.name, self.apart, self.in_article = [-1], ["#"], [""], [False], [False]
+        self.parent, self.tag, self.name, self.apart, self.in_article, self.container = [-1], ["#"], [""], [False], [False], [0]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
-        self.stack = [(0, "#")]
+        self.stack = [(0, "#")]  # of each open tag the element it is or is in
+        self.places: dict[str, list[int]] = {}  # where in the stack each tag stands, and under "" where blocks other than <p> do
         self.text: list[tuple[str, bool]] = []
         self.links = 0
         at, end = 0, len(source)
@@ -96,8 +97,7 @@ class Page:
                 text = " ".join("".join([t for t, _ in parts]).split())
                 linked = sum(len(t.strip()) for t, link in parts if link)
             if text:
-                element = next(i for i, _ in reversed(self.stack) if i >= 0)
-                self.blocks.append((element, text, linked))
+                self.blocks.append((self.stack[-1][0], text, linked))
             self.text = []
 
     def _open(self, tag: str, attributes: str) -> None:
@@ -109,15 +109,14 @@ class Page:
             self._break()
             if tag in CLOSES:
                 self._pop(*CLOSES[tag])
-            elif tag != "option":
-                self._pop({"p"}, BLOCKS - {"p"})
+            else:
+                self._pop(("p",), ("",))
         if tag in VOID:
             return
-        index = -1
+        above = index = self.stack[-1][0]
         marks = ATTRIBUTE.findall(attributes) if "=" in attributes else ()
         if block or marks:
             values = {a.lower(): b or c or d for a, b, c, d in marks}
-            above = next(i for i, _ in reversed(self.stack) if i >= 0)
             words = set()
             for v in values.values():
                 words.update(WORDS.findall(CAMEL.sub(" ", v).lower()))
@@ -130,45 +129,51 @@ class Page:
                 label = NUMBERS.sub("0", ".".join([tag, *sorted(set(values.get("class", "").lower().split()))]))
                 self.parent.append(above)
                 self.tag.append(tag)
-                self.name.append(label + ("#" + NUMBERS.sub("0", values["id"].lower()) if values.get("id") else ""))
+                self.name.append((label + ("#" + NUMBERS.sub("0", values["id"].lower()) if values.get("id") else "")).replace("/", "|"))
+                self.container.append(index if tag in CONTAINERS else self.container[above])
                 self.apart.append(apart)
                 self.in_article.append(inside or tag in ("article", "main"))
         if tag == "a":
             self.links += 1
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if block and tag != "p":
+            self.places.setdefault("", []).append(len(self.stack))
         self.stack.append((index, tag))
 
+    def _last(self, tag: str) -> int:
+        """Where in the stack the innermost open tag of this name stands; 0 if there is none."""
+        at = self.places.get(tag)
+        return at[-1] if at else 0
+
     def _leave(self, to: int) -> None:
         for _, t in self.stack[to:]:
+            self.places[t].pop()
             if t == "a":
                 self.links -= 1
+            elif t != "p" and t in BLOCKS:
+                self.places[""].pop()
         del self.stack[to:]
 
-    def _pop(self, tags: set, barrier) -> None:
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k][1] in tags:
-                first = k
-                while self.stack[first - 1][1] in tags and first > 1:
-                    first -= 1
-                self._leave(first)
-                return
-            if self.stack[k][1] in barrier:
-                return
+    def _pop(self, tags, barrier) -> None:
+        first = max(map(self._last, tags))
+        if first <= max(map(self._last, barrier)):
+            return
+        while first > 1 and self.stack[first - 1][1] in tags:
+            first -= 1
+        self._leave(first)
 
     def _close(self, tag: str) -> None:
         if tag == "br":
             self.text.append((" ", False))
             return
-        block = tag in BLOCKS
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k][1] == tag:
-                if block or any(t in BLOCKS for _, t in self.stack[k:]) or any(i >= 0 for i, _ in self.stack[k:]):
-                    self._break()
-                self._leave(k)
-                return
-            if not block and self.stack[k][1] in BLOCKS:
-                return
-        if block:
-            self._break()
+        block, k = tag in BLOCKS, self._last(tag)
+        if not k:
+            if block:
+                self._break()
+        elif block or k > max(self._last(""), self._last("p")):
+            if block or self.stack[-1][0] != self.stack[k - 1][0]:
+                self._break()
+            self._leave(k)
 
     def totals(self) -> list[int]:
         """For each element, the characters of text below it, boilerplate and links left out."""
@@ -186,9 +191,7 @@ class Page:
         for element, text, linked in self.blocks:
             if not self.apart[element] and (linked < len(text) or self.tag[element] in HEADINGS):
                 out[element] += 1
-                while element > 0 and self.tag[element] not in CONTAINERS:
-                    element = self.parent[element]
-                direct[element] = True
+                direct[self.container[element]] = True
         for i in range(len(out) - 1, 0, -1):
             out[self.parent[i]] += out[i]
         return out, direct
@@ -246,13 +249,20 @@ class Page:
         totals = self.totals()
         root = self.best(totals)
         if paths and self.path(root) not in paths[:1]:
-            places: dict[str, int] = {}
+            # paths as numbers: of each number and name below it the number of the longer path
+            longer: dict[tuple[int, str], int] = {}
+            number, places = [0] * len(self.parent), {}
             for i in range(1, len(self.parent)):
-                if self.tag[i] in CONTAINERS and not self.apart[i] and totals[i]:
-                    p = self.path(i)
-                    if p not in places or totals[i] > totals[places[p]]:
-                        places[p] = i
-            root = next((self.widen(places[p]) for p in paths if p in places), root)
+                number[i] = p = longer.setdefault((number[self.parent[i]], self.name[i]), len(longer) + 1)
+                if self.tag[i] in CONTAINERS and not self.apart[i] and totals[i] and (p not in places or totals[i] > totals[places[p]]):
+                    places[p] = i
+            for path in paths:
+                p = 0
+                for name in path.split("/"):
+                    p = longer.get((p, name), -1)
+                if p in places:
+                    root = self.widen(places[p])
+                    break
         inside = [False] * len(self.parent)
         for i in range(len(self.parent)):
             inside[i] = i == root or (i > 0 and inside[self.parent[i]])
@@ -292,7 +302,8 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) for each row of pages.
 
-    Null html is empty, and its text is empty, as is that of a page without an article. Null and odd addresses share a
+    Null html is empty, and its text is empty, as is that of a page without an article. Work is linear in a page's length, however
+    deep or broken its markup. Paths with as many votes go in order of their names. Null and odd addresses share a
     host without a name. Broken and cut-off markup is read as far as it goes. Repeated rows each vote and each get a
     row; an empty table gives an empty result. Other columns are not read.
     """

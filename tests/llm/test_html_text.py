@@ -70,3 +70,39 @@ def test_votes_for_a_narrow_container_do_not_cut_an_article(spark):
     rows = [(i, f"http://h.example/{i}", narrow) for i in range(5)] + [(9, "http://h.example/9", wide)]
     got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[0] == P.strip() and got[9] == f"Title\n{P.strip()}\nEnd."
+
+
+def test_planted_articles_on_generated_pages(spark):
+    """Pages made from a tree: what its article says is known, whatever stands around and inside it."""
+    import random
+
+    rng = random.Random(10)
+    words = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "d&eacute;j&agrave;", "x &lt; y", "two\n lines"]) for _ in range(n))
+    plain = lambda t: " ".join(t.replace("&eacute;", "é").replace("&agrave;", "à").replace("&lt;", "<").split())
+    rows, want = [], {}
+    for i in range(120):
+        said, inner = [], ""
+        for k in range(rng.randrange(3, 9)):
+            t = words(rng.randrange(15, 60))
+            kind = rng.randrange(6)
+            said += [plain(t)] if kind < 5 else []
+            inner += [f"<p>{t}</p>", f"<h2>{t}</h2>", f"<p><b>{t}</b>", f"<blockquote>{t}</blockquote>", f"<ul><li>{t}</ul>", f"<div class='advert'>{t}</div>"][kind]
+        said.append("The end of it all, with enough words to be scored.")
+        inner += "<p>The end of it all, with enough words to be scored.</p>"
+        host, depth = i % 3, i % 5
+        around = lambda x: f"<header><p>{words(9)}</p></header><nav><a href='/'>{words(5)}</a></nav>{x}<aside><p>{words(30)}</p></aside><div class='comments'><p>{words(200)}</p></div><footer>{words(9)}</footer>"
+        body = [f"<article>{inner}</article>", f"<main><article>{inner}</article></main>", f"<div class='page-{i}'><div class='content'>{inner}</div></div>"][host]
+        rows.append((i, f"https://host{host}.example/{i}", page(around("<div>" * depth + body + "</div>" * depth))))
+        want[i] = "\n".join(said)
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
+def test_work_is_linear_in_bad_markup():
+    import time
+
+    n = 40_000
+    for source in ("<div>" * n + "deep", "<b>x</i>" * n, "<i><div>" + "<b>x</i>" * n, "<p>" + "<b>" * n + "x<hr>" * n, "<dt><dl>" + "<div>" * n + "<dt>x</dt>" * n, "<blockquote>a" * n, "<p><span class='c'>x" * n, "</div></p></b>" * n):
+        began = time.process_time()
+        Page(source).extract(["html/body/div.a", "div/div"])
+        assert time.process_time() - began < 8, source[:40]
