@@ -2,9 +2,11 @@
 
 Arrivals are appended as small immutable shards. Shards of similar size (one tier of sizes) are merged once there are
 enough of them, into files of the target size, and a tier's result moves up. What a table consists of is a manifest of
-shards; a new version is committed by creating its file, which fails if another writer has made that version, so
-readers see all of a change or nothing. Files of an older version stay until they are vacuumed.
+shards; a new version is committed by a step that fails if another writer has made that version, so readers see all of
+a change or nothing. That step is a hard link on a local or mounted file system (`file:`), and elsewhere a rename that does not replace, which is
+atomic on HDFS. An object store has neither: let one writer at a time commit there.
 
+Files of an older version stay until they are vacuumed, which spares what a reader or writer of the last GRACE_SECONDS may hold.
 Shards are written by executors, one task a shard or run of shards; the driver holds the manifest (a few numbers a
 shard), never rows.
 """
@@ -12,8 +14,10 @@ shard), never rows.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +25,8 @@ from corvane.llm.common import new_dir, ship, table
 
 TARGET_BYTES = 128 << 20
 TIER_FACTOR, TIER_WIDTH, SMALLEST = 4, 4, 1 << 16
+#: How long a reader may hold an older version, and a writer files that it has not committed.
+GRACE_SECONDS = 7 * 24 * 3600
 
 
 class Conflict(RuntimeError):
@@ -52,16 +58,32 @@ class Shards:
         return json.loads("\n".join(r[0] for r in self.spark.read.text(f"{self.path}/manifest/v{version}.json").collect()))
 
     def _commit(self, version: int, schema, shards: list[dict]) -> None:
-        """Writes the manifest aside and renames it to its version; a rename does not replace what is there."""
+        """Writes the manifest aside and gives it the name of its version, unless there is one of that name."""
         text = json.dumps({"version": version, "schema": schema, "shards": shards}, sort_keys=True)
         aside, final = self._at(f"manifest/.{uuid.uuid4().hex}"), self._at(f"manifest/v{version}.json")
         self._fs.mkdirs(self._at("manifest"))
         out = self._fs.create(aside, False)
         out.write(bytearray(text.encode()))
         out.close()
-        if self._fs.exists(final) or not self._fs.rename(aside, final):
+        try:
+            self._name(aside, final)
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            raise Conflict(f"version {version} of {self.path}") from None
+        finally:
             self._fs.delete(aside, False)
-            raise Conflict(f"version {version} of {self.path}")
+
+    def _name(self, aside, final) -> None:
+        aside, final = self._fs.resolvePath(aside), self._fs.resolvePath(final.getParent()).suffix(f"/{final.getName()}")
+        if aside.toUri().getScheme() == "file":
+            at = lambda p: self._jvm.java.nio.file.Paths.get(self._jvm.java.net.URI("file://" + p.toUri().getRawPath()))
+            self._jvm.java.nio.file.Files.createLink(at(final), at(aside))
+            return
+        none = self._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = none
+        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(aside, final, options)
 
     def _write(self, df: DataFrame, batch: str) -> list[dict]:
         """df's partitions as shards of one new folder, with their rows and bytes."""
@@ -71,10 +93,16 @@ class Shards:
         return [{"file": f"{name}/{f}", "bytes": n} for f, n in sorted(files)]
 
     def append(self, df: DataFrame) -> int:
-        """Commits df's partitions as new shards, as small as they come; returns the version."""
+        """Commits df's partitions as new shards, as small as they come; returns the version. Columns are those of the table, in any order."""
         m = self.manifest()
+        if m["schema"] is not None:
+            has = self._schema(m)
+            kinds = lambda schema: {f.name: f.dataType.simpleString() for f in schema}
+            if kinds(has) != kinds(df.schema) or len(has) != len(df.schema):
+                raise ValueError(f"{df.schema.simpleString()} is not the table's {has.simpleString()}")
+            df = df.select(*(column(f.name) for f in has))
         shards = self._write(df, "arrival")
-        self._commit(m["version"] + 1, json.loads(df.schema.json()), m["shards"] + shards)
+        self._commit(m["version"] + 1, m["schema"] or json.loads(df.schema.json()), m["shards"] + shards)
         return m["version"] + 1
 
     def tier(self, size: int) -> int:
@@ -112,32 +140,60 @@ class Shards:
         return StructType.fromJson(m["schema"])
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version, with the shard of each in `shard`; a table never written to cannot be read."""
+        """The rows of a version, with the shard of each in `shard` (`_shard` if the table has such a column, and so on); a table
+        never written to cannot be read."""
         m = self.manifest(version)
         if m["schema"] is None:
             raise ValueError(f"nothing was committed to {self.path}")
+        schema = self._schema(m)
+        name = "shard"
+        while name in schema.names:
+            name = "_" + name
         if not m["shards"]:
-            return self.spark.createDataFrame([], self._schema(m)).withColumn("shard", F.lit(None).cast("string"))
-        df = self.spark.read.schema(self._schema(m)).parquet(*(f"{self.path}/{s['file']}" for s in m["shards"]))
-        return df.withColumn("shard", F.regexp_extract(F.input_file_name(), r"(data/[^/]+/[^/]+)$", 1))
-
-    def vacuum(self) -> int:
-        """Deletes the data folders that the last version does not name; returns how many."""
-        live = {s["file"].split("/")[1] for s in self.manifest()["shards"]}
-        old = [s.getPath() for s in self._fs.listStatus(self._at("data")) if s.getPath().getName() not in live]
+            return self.spark.createDataFrame([], schema).withColumn(name, F.lit(None).cast("string"))
+        df = self.spark.read.schema(schema).parquet(*(f"{self.path}/{s['file']}" for s in m["shards"]))
+        return df.withColumn(name, F.regexp_extract(F.input_file_name(), r"(data/[^/]+/[^/]+)$", 1))
+
+    def vacuum(self, grace_seconds: float = GRACE_SECONDS) -> int:
+        """Deletes the data folders that no version needs which is the last, or was at any time in the last `grace_seconds`, and that
+        were last written before; returns how many. So readers of older versions and writers that have yet to commit have that time."""
+        if not self.version():
+            return 0
+        since = time.time() - grace_seconds
+        made = {int(s.getPath().getName()[1:-5]): s.getModificationTime() / 1000 for s in self._fs.listStatus(self._at("manifest")) if s.getPath().getName().startswith("v")}
+        last, held = max(made), {v for v, t in made.items() if t >= since}
+        before = max((v for v in made if v not in held), default=None)  # the last one when that time began
+        live = {s["file"].split("/")[1] for v in {last, *held, *([before] if before and held else [])} for s in self.manifest(v)["shards"]}
+        old = []
+        for s in self._fs.listStatus(self._at("data")):
+            if s.getPath().getName() not in live:
+                written = max([s.getModificationTime(), *(f.getModificationTime() for f in self._fs.listStatus(s.getPath()))]) / 1000
+                if written < since:
+                    old.append(s.getPath())
         for p in old:
             self._fs.delete(p, True)
         return len(old)
 
 
+def column(name: str):
+    """The column of this name, whatever is in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _hashed(kind) -> bool:
+    """Whether a type can be hashed: not if there is a map in it."""
+    return "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
+
+
 def shard_table(df: DataFrame, path: str, arrivals: int = 2, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """df stored as shards under `path` in so many arrivals, compacted, and read back from the committed manifest, with `shard`.
 
-    Arrivals are dealt by a hash of the whole row; a row is in one shard, repeated rows each, nulls and any column names
-    are kept (but `shard`, which is the result's), and an empty table is one without rows.
+    Arrivals are dealt by a hash of the row (but maps); a row is in one shard, repeated rows each, nulls, texts of any length and any column names
+    are kept (the result's own column is then `_shard`), and an empty table is one without rows. Older versions are vacuumed once nobody can hold them.
     """
     t = Shards(df.sparkSession, path, target_bytes)
-    deal = F.pmod(F.xxhash64(*df.columns), F.lit(arrivals)) if df.columns else F.lit(0)
+    keys = [column(f.name) for f in df.schema if _hashed(f.dataType)]
+    deal = F.pmod(F.xxhash64(*keys), F.lit(arrivals)) if keys else F.lit(0)
     for k in range(arrivals):
         t.append(df.where(deal == k))
     t.compact()
