@@ -49,12 +49,33 @@ def best_text(candidates: Column) -> Column:
     return F.coalesce(first["text"], F.lit(""))
 
 
-def agreement_rows(results: DataFrame, retired: tuple[str, ...] = ()) -> DataFrame:
-    """(id, agreement, best_text, text_verified, model_count); agreement is 0 with fewer than two texts."""
-    rows = grouped(results, retired).where("model_count >= 2")
-    texts = F.filter(F.transform("candidates", lambda x: normalize_text(x["text"])), lambda t: t != "")
+def resolved(results: DataFrame, models: dict[str, str], current: dict[str, str] | None = None) -> DataFrame:
+    """results with `key`, what their model is known as by `models` (its name to its key); others, and those of a key in `current` under
+    another name than the one there, are left out."""
+    names = F.create_map(*(F.lit(x) for pair in models.items() for x in pair)) if models else F.lit(None).cast("map<string,string>")
+    rows = results.withColumn("key", F.try_element_at(names, F.col("model"))).where("key is not null")
+    for key, name in (current or {}).items():
+        rows = rows.where((F.col("key") != key) | (F.col("model") == name))
+    return rows
+
+
+def agreement_rows(results: DataFrame, retired: tuple[str, ...] = (), models: dict[str, str] | None = None, current: dict[str, str] | None = None, primary: str | None = None) -> DataFrame:
+    """(id, agreement, best_text, text_verified, model_count, canto_ft_confidence) of ids with two results or more.
+
+    With `models`, results count under their key (see resolved) and unknown models not at all, but model_count has every result. Retired
+    keys take no part in agreement and best text. Agreement is over the texts that are not empty as they came, each then normalised; it is 0
+    with fewer than two. The last column is the confidence of the key `primary`, 0 where that is null, and null without a result of it.
+    """
+    keyed = resolved(results, models, current) if models is not None else results.withColumn("key", F.col("model"))
+    known = grouped(keyed.select("id", F.col("key").alias("model"), "text", "confidence")).select("id", "candidates")
+    count = results.groupBy("id").agg(F.count("*").cast("int").alias("model_count")).where("model_count >= 2")
+    rows = count.join(known, "id", "left").withColumn("candidates", F.coalesce("candidates", F.array().cast(known.schema["candidates"].dataType)))
+    of = F.transform(F.filter("candidates", lambda x: x["model"] == primary), lambda x: F.coalesce(x["confidence"], F.lit(0.0))) if primary else F.array().cast("array<double>")
+    active = F.filter("candidates", lambda x: ~x["model"].isin(*retired)) if retired else F.col("candidates")
+    rows = rows.select("id", "model_count", F.try_element_at(of, F.lit(1)).alias("canto_ft_confidence"), active.alias("candidates"))
+    texts = F.transform(F.filter("candidates", lambda x: F.coalesce(x["text"], F.lit("")) != ""), lambda x: normalize_text(x["text"]))
     # the difflib stage sees only rows with two texts: a UDF in a CASE would run on all
     rows = rows.withColumn("_texts", texts)
     some = rows.where(F.size("_texts") >= 2).withColumn("agreement", char_agreement(F.col("_texts")))
     none = rows.where(F.size("_texts") < 2).withColumn("agreement", F.lit(0.0))
-    return some.unionByName(none).select("id", "agreement", best_text(F.col("candidates")).alias("best_text"), F.lit(False).alias("text_verified"), "model_count")
+    return some.unionByName(none).select("id", "agreement", best_text(F.col("candidates")).alias("best_text"), F.lit(False).alias("text_verified"), "model_count", "canto_ft_confidence")

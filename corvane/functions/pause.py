@@ -2,54 +2,105 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MARKS = "，。？！；：、…"
+# The marks, the half-width ones that count as such, the cut-offs in seconds, and the tokens.
+MARKS = "，。、；：？！"
 HALF = str.maketrans(",?!;:", "，？！；：")
 NO_PAUSE_SEC, LONG_SEC = 0.16, 0.48
+SHORT_TOKEN, LONG_TOKEN = "<pause-short>", "<pause-long>"
+
 PLAN = "array<struct<offset:int,mark:string,kind:string,delta_t:double,verdict:string>>"
-RESULT = f"struct<plan:{PLAN},unalignable:boolean>"
 
 
 def verdict(delta: float, no_pause: float = NO_PAUSE_SEC, long: float = LONG_SEC) -> str:
     return "no_pause" if delta < no_pause else "short" if delta < long else "long"
 
 
-def walk(text: str, chars: list[tuple[str, float, float]], duration: float | None, no_pause: float = NO_PAUSE_SEC, long: float = LONG_SEC) -> tuple[list[tuple], bool]:
-    """(events, unalignable). A character that the alignment has next is passed; of the others, marks are events, by whether
-    aligned characters stand on both sides. Unless all aligned characters are met there are no events."""
-    at, events = 0, []
-    for offset, c in enumerate(text):
-        if at < len(chars) and c == chars[at][0]:
+def verdict_of(delta: Column, no_pause: float = NO_PAUSE_SEC, long: float = LONG_SEC) -> Column:
+    return F.when(delta < no_pause, "no_pause").when(delta < long, "short").when(delta.isNotNull(), "long")
+
+
+ANY_MARK = re.compile("[" + re.escape(MARKS + ",?!;:") + "]")
+
+
+def walk(text: str, chars: str, starts, ends, duration: float | None, no_pause: float = NO_PAUSE_SEC, long: float = LONG_SEC) -> tuple[list[dict], bool]:
+    """(events, unalignable) of a text, its aligned characters, and where each starts and ends.
+
+    A character that the alignment has next is passed; of the others, marks are events, by whether aligned characters stand
+    on both sides. Unless all aligned characters are met there are no events. What stands between two marks is compared at
+    once: without what the alignment has nowhere, it is mostly the next of its characters.
+    """
+    at, events, n, has, done = 0, [], len(chars), set(chars), 0
+    unknown = {ord(c): None for c in set(text) - has}
+
+    def passed(at: int, part: str) -> int:
+        known = part.translate(unknown)
+        if chars.startswith(known, at):
+            return at + len(known)
+        for c in known:
+            at += at < n and c == chars[at]
+        return at
+
+    for m in ANY_MARK.finditer(text):
+        offset, c = m.start(), m[0]
+        at = passed(at, text[done:offset])
+        done = offset + 1
+        if at < n and c == chars[at]:
             at += 1
             continue
-        mark = c.translate(HALF)
-        if mark not in MARKS:
-            continue
+        event = {"offset": offset, "mark": c.translate(HALF), "delta_t": None, "verdict": None}
         if at == 0:
-            events.append((offset, mark, "leading_tail", None, None))
-        elif at >= len(chars):
-            events.append((offset, mark, "trailing_tail", None if duration is None else round(duration - chars[-1][2], 4), None))
+            event |= {"kind": "leading_tail", "t_start": 0.0, "t_end": float(starts[0]) if n else None}
+        elif at >= n:
+            last = float(ends[n - 1])
+            event |= {"kind": "trailing_tail", "delta_t": None if duration is None else round(duration - last, 4), "t_start": last, "t_end": duration}
         else:
-            delta = round(chars[at][1] - chars[at - 1][2], 4)
-            events.append((offset, mark, "normal", delta, verdict(delta, no_pause, long)))
-    return ([], True) if at != len(chars) else (events, False)
+            before, after = float(ends[at - 1]), float(starts[at])
+            delta = round(after - before, 4)
+            event |= {"kind": "normal", "delta_t": delta, "verdict": verdict(delta, no_pause, long), "t_start": before, "t_end": after}
+        events.append(event)
+    at = passed(at, text[done:])
+    return ([], True) if at != n else (events, False)
+
+
+TIMED = PLAN.replace("verdict:string", "verdict:string,t_start:double,t_end:double")
+
+
+def _walks(text: Column, chars: Column, duration: Column, kind: str, no_pause: float, long: float) -> Column:
+    fields = ("offset", "mark", "kind", "delta_t", "verdict", "t_start", "t_end")[: 5 if kind == PLAN else 7]
+    types = [pa.int32(), pa.string(), pa.string(), pa.float64(), pa.string(), pa.float64(), pa.float64()]
+    plan_type = pa.list_(pa.struct([pa.field(f, t) for f, t in zip(fields, types)]))
+
+    @F.arrow_udf(f"struct<plan:{kind},unalignable:boolean>")
+    def plan(t: pa.Array, c: pa.Array, d: pa.Array) -> pa.Array:
+        # of all rows at once: characters as a list, times as arrays, and where each row's begin
+        flat, sizes = c.flatten(), c.value_lengths().fill_null(0).to_pylist()
+        ch, start, end = (flat.field(k) for k in range(3))
+        ch, start, end = ch.to_pylist(), start.to_numpy(zero_copy_only=False), end.to_numpy(zero_copy_only=False)
+        plans, bad, at = [], [], 0
+        for text_, size, dur in zip(t.to_pylist(), sizes, d.to_pylist()):
+            events, wrong = walk(text_ or "", "".join(ch[at : at + size]), start[at : at + size], end[at : at + size], dur, no_pause, long)
+            plans.append(events)
+            bad.append(wrong)
+            at += size
+        return pa.StructArray.from_arrays([pa.array(plans, plan_type), pa.array(bad, pa.bool_())], names=["plan", "unalignable"])
+
+    return plan(text, chars, duration.cast("double"))
 
 
 def pause_plan(text: Column, chars: Column, duration: Column, no_pause: float = NO_PAUSE_SEC, long: float = LONG_SEC) -> Column:
     """struct(plan, unalignable) of a text, its array of (ch, start_sec, end_sec), and the clip's seconds. Null chars are none."""
+    return _walks(text, chars, duration, PLAN, no_pause, long)
 
-    @F.pandas_udf(RESULT)
-    def plan(t: pd.Series, c: pd.Series, d: pd.Series) -> pd.DataFrame:
-        out = []
-        for text_, chars_, dur in zip(t, c, d):
-            events, bad = walk(text_ or "", [] if chars_ is None else [(x["ch"], x["start_sec"], x["end_sec"]) for x in chars_], None if pd.isna(dur) else float(dur), no_pause, long)
-            out.append(([dict(zip(("offset", "mark", "kind", "delta_t", "verdict"), e)) for e in events], bad))
-        return pd.DataFrame(out, columns=["plan", "unalignable"])
 
-    return plan(text, chars, duration)
+def preview(text: Column, chars: Column, duration: Column) -> Column:
+    """The same with where each event begins and ends in the clip: between the aligned characters on both sides, or its ends."""
+    return _walks(text, chars, duration, TIMED, NO_PAUSE_SEC, LONG_SEC)
 
 
 def counts(plan: Column) -> dict[str, Column]:
@@ -58,7 +109,7 @@ def counts(plan: Column) -> dict[str, Column]:
     return {"n_punct": F.size(plan).cast("int"), "n_no_pause": of("no_pause"), "n_short": of("short"), "n_long": of("long")}
 
 
-def text_pause(text: Column, plan: Column, short: str = "<|short|>", long: str = "<|long|>") -> Column:
+def text_pause(text: Column, plan: Column, short: str = SHORT_TOKEN, long: str = LONG_TOKEN) -> Column:
     """The text with pause tokens after marks, and without marks at which there was no pause.
 
     An event counts only if its mark stands at its offset; of events at one offset the last counts. Native: a fold over the

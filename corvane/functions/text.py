@@ -127,9 +127,14 @@ def tag_of(text: Column, values: list[str]) -> Column:
     return F.when(found == "", "UNKNOWN").otherwise(found)
 
 
+#: White space as Unicode has it.
+SPACES = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
 def slugify(text: Column) -> Column:
-    t = F.regexp_replace(F.lower(nothing(text)), r"[^a-z0-9_\s-]", "")
-    return F.substring(F.regexp_replace(F.regexp_replace(t, r"[\s_-]+", "_"), "^_+|_+$", ""), 1, 40)
+    """Lower case; letters and digits of any script, joined by one _ where there was space, _ or -; 40 characters."""
+    t = F.regexp_replace(F.lower(nothing(text)), rf"[^\p{{L}}\p{{N}}_{SPACES}-]", "")
+    return F.substring(F.regexp_replace(F.regexp_replace(t, rf"[{SPACES}_-]+", "_"), "^_+|_+$", ""), 1, 40)
 
 
 def short_hash(text: Column, size: int) -> Column:

@@ -65,9 +65,9 @@ def normalize_text(spark, d):
     return fx(spark, d, "fx_agreement").select("id", T.normalize_text(F.col("best_text")).alias("t"))
 
 
-@query("mark_normalize", "select doc_id, translate(substr(text, 1, 80), ',?!;:', '，？！；：') marks from documents")
+@query("mark_normalize", "select doc_id, md5(translate(text, ',?!;:', '，？！；：')) marks_md5 from documents")
 def mark_normalize(spark, d):
-    return load(spark, d, "documents").select("doc_id", T.normalize_mark(F.substring("text", 1, 80)).alias("marks"))
+    return load(spark, d, "documents").select("doc_id", F.md5(T.normalize_mark(F.col("text"))).alias("marks_md5"))
 
 
 @query("count_syllables", with_fx("select id, cast(len(list_filter(string_split_regex(jyutping, '\\s+'), lambda x: regexp_full_match(x, '[a-z]+[1-6]'))) as bigint) n from fx_g2p"))
@@ -80,16 +80,20 @@ def valid_fraction(spark, d):
     return fx(spark, d, "fx_g2p").select("id", T.valid_fraction(F.col("jyutping")).alias("valid"))
 
 
-@query("parse_tags", "select doc_id, trim(regexp_replace(t, '<\\|[^|]*\\|>', '', 'g')) body, coalesce(nullif(upper(regexp_extract(t, '(?i)<\\|(happy|sad|angry)\\|>', 1)), ''), 'UNKNOWN') emotion from (select doc_id, concat('<|yue|><|', case doc_id % 4 when 0 then 'HAPPY' when 1 then 'sad' when 2 then 'Angry' else 'woitn' end, '|>', substr(text, 1, 30)) t from documents)")
+@query("parse_tags", "select doc_id, md5(trim(regexp_replace(t, '<\\|[^|]*\\|>', '', 'g'))) body_md5, coalesce(nullif(upper(regexp_extract(t, '(?i)<\\|(happy|sad|angry)\\|>', 1)), ''), 'UNKNOWN') emotion from (select doc_id, concat('<|yue|><|', case doc_id % 4 when 0 then 'HAPPY' when 1 then 'sad' when 2 then 'Angry' else 'woitn' end, '|>', text) t from documents)")
 def parse_tags(spark, d):
     mood = F.expr("case doc_id % 4 when 0 then 'HAPPY' when 1 then 'sad' when 2 then 'Angry' else 'woitn' end")
-    docs = load(spark, d, "documents").select("doc_id", F.concat(F.lit("<|yue|><|"), mood, F.lit("|>"), F.substring("text", 1, 30)).alias("t"))
-    return docs.select("doc_id", T.strip_tags(F.col("t")).alias("body"), T.tag_of(F.col("t"), ["happy", "sad", "angry"]).alias("emotion"))
+    docs = load(spark, d, "documents").select("doc_id", F.concat(F.lit("<|yue|><|"), mood, F.lit("|>"), F.col("text")).alias("t"))
+    return docs.select("doc_id", F.md5(T.strip_tags(F.col("t"))).alias("body_md5"), T.tag_of(F.col("t"), ["happy", "sad", "angry"]).alias("emotion"))
 
 
-@query("slugify", "select doc_id, substr(regexp_replace(regexp_replace(regexp_replace(lower(substr(text, 1, 60)), '[^a-z0-9_\\s-]', '', 'g'), '[\\s_-]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 40) slug from documents")
+SPACE = T.SPACES
+
+
+@query("slugify", f"select doc_id, substr(regexp_replace(regexp_replace(regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}_{SPACE}-]', '', 'g'), '[{SPACE}_-]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 40) slug from (select doc_id, case doc_id % 3 when 0 then concat('香港電台 — 節目', doc_id, ' ', text) when 1 then concat('Été-À ', text) else text end t from documents)")
 def slugify(spark, d):
-    return load(spark, d, "documents").select("doc_id", T.slugify(F.substring("text", 1, 60)).alias("slug"))
+    title = F.expr("case doc_id % 3 when 0 then concat('香港電台 — 節目', doc_id, ' ', text) when 1 then concat('Été-À ', text) else text end")
+    return load(spark, d, "documents").select("doc_id", T.slugify(title).alias("slug"))
 
 
 @query("shard_index", with_fx("select id, cast(('0x' || substr(md5(coalesce(raw_id, id)), 1, 8)) as bigint) % 3 shard from fx_segments"))
@@ -159,45 +163,70 @@ def agreement_row(spark, d):
     return A.agreement_rows(_candidates(spark, d), retired=("gamma",))
 
 
-@query("edit_distance", "select d.doc_id, cast(levenshtein(substr(b.text, 1, 20), substr(b.text, 3, 20)) as bigint) dist from documents d join benchmark b on d.doc_id = b.item_id where regexp_full_match(b.text, '[ -~\\n]*')")
+@query("edit_distance")
 def edit_distance(spark, d):
-    b = load(spark, d, "benchmark").where(F.col("text").rlike(r"^[ -~\n]*$"))
-    return load(spark, d, "documents").select("doc_id").join(b, F.col("doc_id") == F.col("item_id")).select("doc_id", F.levenshtein(F.substring("text", 1, 20), F.substring("text", 3, 20)).cast("long").alias("dist"))
+    """Mean distance of the texts that reviewers have seen to the texts they made of them, over verified reviews."""
+    review = fx(spark, d, "fx_review").where("decision = 'verified'").select(F.expr("cast(substr(id, 2) as bigint)").alias("doc_id"))
+    texts = load(spark, d, "documents").join(review, "doc_id").select("doc_id", "text", F.replace("text", F.lit("th"), F.lit("d")).alias("reviewed"))
+    return texts.agg(F.count("*").alias("n"), F.round(F.avg(F.levenshtein("text", "reviewed")), 6).alias("mean_distance"))
 
 
 def _chars(spark, d):
-    """A text of five characters and two marks, and its aligned characters."""
-    docs = load(spark, d, "documents").where("length(regexp_replace(text, '[^a-z]', '')) >= 5").select("doc_id", F.substring(F.regexp_replace("text", "[^a-z]", ""), 1, 5).alias("w"))
-    step = (F.col("doc_id") % 7 + 3) / F.lit(10.0)
-    chars = F.expr("transform(sequence(0, 4), i -> named_struct('ch', substring(w, i + 1, 1), 'start_sec', i * step, 'end_sec', i * step + 0.2D))")
-    return docs.withColumn("step", step).select("doc_id", F.concat(F.substring("w", 1, 2), F.lit(","), F.substring("w", 3, 3), F.lit("。")).alias("text"), chars.alias("chars"))
+    """Whole texts, with their letters as aligned characters; of some, one more that the text does not have."""
+    docs = load(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    letters = F.filter(F.split("text", ""), lambda c: c.rlike("^[a-zA-Z]$"))
+    letters = F.when(F.col("doc_id") % 11 == 4, F.concat(letters, F.array(F.lit("#")))).otherwise(letters)
+    start = lambda i: i * 0.3 + (i % 4) * 0.15 + F.col("doc_id") % 3 * 0.2 * i
+    chars = F.transform(letters, lambda c, i: F.struct(c.alias("ch"), start(i).alias("start_sec"), (start(i) + 0.2).alias("end_sec")))
+    return docs.select("doc_id", "text", chars.alias("chars"))
+
 
+#: Characters of the texts with how many aligned ones stand before, and what becomes of the marks.
+PAUSE = {
+    "pc": "select doc_id, doc_id % 11 = 4 bad, generate_subscripts(string_split(text, ''), 1) - 1 o, unnest(string_split(text, '')) c from (select doc_id, coalesce(text, '') \"text\" from documents)",
+    "pn": "select *, coalesce(sum(case when regexp_full_match(c, '[a-zA-Z]') then 1 else 0 end) over (partition by doc_id order by o rows between unbounded preceding and 1 preceding), 0) before, sum(case when regexp_full_match(c, '[a-zA-Z]') then 1 else 0 end) over (partition by doc_id) total from pc",
+    "pe": "select doc_id, o, c, translate(c, ',?!;:', '，？！；：') mark, case when before = 0 then 'leading_tail' when before >= total then 'trailing_tail' else 'normal' end kind, case when before > 0 and before < total then 0.1 + 0.15 * ((before % 4) - ((before - 1) % 4)) + doc_id % 3 * 0.2 end delta from pn where c in (',', '?', '!', ';', ':', '，', '。', '、', '；', '：', '？', '！') and not bad",
+    "pv": "select *, case when delta < 0.16 then 'no_pause' when delta < 0.48 then 'short' when delta is not null then 'long' end verdict from pe",
+}
 
-PAUSE = "select doc_id, w, (doc_id % 7 + 3) / 10.0 step from (select doc_id, substr(regexp_replace(text, '[^a-z]', '', 'g'), 1, 5) w from documents where length(regexp_replace(text, '[^a-z]', '', 'g')) >= 5)"
 
+def _planned(spark, d):
+    return _chars(spark, d).withColumn("p", P.pause_plan(F.col("text"), F.col("chars"), F.lit(10.0)))
 
-@query("pause_plan", with_fx("select doc_id, 2::bigint n, case when step - 0.2 < 0.155 then 'no_pause' when step - 0.2 < 0.475 then 'short' else 'long' end verdict, false unalignable from pw", pw=PAUSE))
+
+@query("pause_plan", with_fx("select d.doc_id, count(v.o) n, coalesce(sum(v.o), 0)::bigint offsets, coalesce(string_agg(v.mark, '' order by v.o), '') marks, coalesce(round(sum(case when v.kind = 'normal' then v.delta end), 3), 0)::double deltas, count(case when v.kind = 'leading_tail' then 1 end) n_leading, count(case when v.kind = 'trailing_tail' then 1 end) n_trailing, d.doc_id % 11 = 4 unalignable from documents d left join pv v on d.doc_id = v.doc_id group by d.doc_id", **PAUSE))
 def pause_plan(spark, d):
-    p = _chars(spark, d).withColumn("p", P.pause_plan(F.col("text"), F.col("chars"), F.lit(10.0)))
-    return p.select("doc_id", F.size("p.plan").cast("long").alias("n"), F.get("p.plan", F.lit(0))["verdict"].alias("verdict"), F.col("p.unalignable").alias("unalignable"))
+    plan = F.col("p.plan")
+    of = lambda k: F.size(F.filter(plan, lambda e: e["kind"] == k)).cast("long").alias("n_" + k.split("_")[0])
+    total = lambda c, zero: F.aggregate(c, zero, lambda s, x: s + x)
+    deltas = F.transform(F.filter(plan, lambda e: e["kind"] == "normal"), lambda e: e["delta_t"])
+    p = _planned(spark, d)
+    return p.select("doc_id", F.size(plan).cast("long").alias("n"), total(F.transform(plan, lambda e: e["offset"].cast("long")), F.lit(0).cast("long")).alias("offsets"), F.array_join(F.transform(plan, lambda e: e["mark"]), "").alias("marks"), F.round(total(deltas, F.lit(0.0)), 3).alias("deltas"), of("leading_tail"), of("trailing_tail"), F.col("p.unalignable").alias("unalignable"))
 
 
-@query("pause_summary", with_fx("select doc_id, 2::bigint n_punct, case when step - 0.2 < 0.155 then 1 else 0 end::bigint n_no_pause, case when step - 0.2 >= 0.155 and step - 0.2 < 0.475 then 1 else 0 end::bigint n_short, case when step - 0.2 >= 0.475 then 1 else 0 end::bigint n_long from pw", pw=PAUSE))
+@query("pause_summary", with_fx("select d.doc_id, count(v.o) n_punct, count(case when verdict = 'no_pause' then 1 end) n_no_pause, count(case when verdict = 'short' then 1 end) n_short, count(case when verdict = 'long' then 1 end) n_long from documents d left join pv v on d.doc_id = v.doc_id group by d.doc_id", **PAUSE))
 def pause_summary(spark, d):
-    p = _chars(spark, d).withColumn("p", P.pause_plan(F.col("text"), F.col("chars"), F.lit(10.0)))
-    return p.select("doc_id", *(c.cast("long").alias(k) for k, c in P.counts(F.col("p.plan")).items()))
+    return _planned(spark, d).select("doc_id", *(c.cast("long").alias(k) for k, c in P.counts(F.col("p.plan")).items()))
 
 
-@query("text_pause", with_fx("select doc_id, concat(substr(w, 1, 2), case when step - 0.2 < 0.155 then '' when step - 0.2 < 0.475 then ',<|short|>' else ',<|long|>' end, substr(w, 3, 3), '。') t from pw", pw=PAUSE))
+@query("text_pause", with_fx("select d.doc_id, md5(coalesce(string_agg(case when v.verdict = 'no_pause' then '' when v.verdict = 'short' then v.mark || '<pause-short>' when v.verdict = 'long' then v.mark || '<pause-long>' else translate(n.c, ',?!;:', '，？！；：') end, '' order by n.o), '')) t_md5 from documents d left join pn n on d.doc_id = n.doc_id left join pv v on n.doc_id = v.doc_id and n.o = v.o group by d.doc_id", **PAUSE))
 def text_pause(spark, d):
-    p = _chars(spark, d).withColumn("text", F.translate("text", ",", "，")).withColumn("p", P.pause_plan(F.col("text"), F.col("chars"), F.lit(10.0)))
-    return p.select("doc_id", F.translate(P.text_pause(F.col("text"), F.col("p.plan")), "，", ",").alias("t"))
+    full = _chars(spark, d).withColumn("text", T.normalize_mark(F.col("text")))
+    p = full.withColumn("p", P.pause_plan(F.col("text"), F.col("chars"), F.lit(10.0)))
+    return p.select("doc_id", F.md5(P.text_pause(F.col("text"), F.col("p.plan"))).alias("t_md5"))
+
+
+@query("pause_preview", with_fx("select doc_id, count(*) n, count(case when kind = 'leading_tail' then 1 end) from_start, round(sum(delta), 3) gaps from pv group by doc_id", **PAUSE))
+def pause_preview(spark, d):
+    p = _chars(spark, d).select("doc_id", F.explode(P.preview(F.col("text"), F.col("chars"), F.lit(10.0))["plan"]).alias("e"))
+    gap = F.when(F.col("e.kind") == "normal", F.col("e.t_end") - F.col("e.t_start"))
+    return p.groupBy("doc_id").agg(F.count("*").alias("n"), F.count(F.when((F.col("e.kind") == "leading_tail") & (F.col("e.t_start") == 0.0), 1)).alias("from_start"), F.round(F.sum(gap), 3).alias("gaps"))
 
 
 @query("pause_verdict", "select event_id, case when value / 100 < 0.16 then 'no_pause' when value / 100 < 0.48 then 'short' else 'long' end verdict from events")
 def pause_verdict(spark, d):
     v = F.col("value") / 100
-    return load(spark, d, "events").select("event_id", F.when(v < P.NO_PAUSE_SEC, "no_pause").when(v < P.LONG_SEC, "short").otherwise("long").alias("verdict"))
+    return load(spark, d, "events").select("event_id", P.verdict_of(v).alias("verdict"))
 
 
 @query("rounding", "select o_orderkey, round(o_orderkey / 8.0, 2) rounded from orders")

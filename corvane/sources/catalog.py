@@ -1,17 +1,23 @@
 """The catalog: a folder of versioned Parquet tables with keys.
 
-A table is `<root>/<name>/v<n>`; `<root>/<name>/current` names the version that readers see. A write makes the next
-version beside it and then replaces the pointer, so a reader sees one version whole, and a run that dies leaves the last.
+A version of a table is a file `<root>/<name>/current-<n>`, which names the folders of Parquet that make it up; readers see the one
+with the greatest n. It is written last, by a create that fails if another writer has made that version, so a reader sees one
+version whole, and a run that dies leaves the last. An append adds a folder. A large table is kept in buckets by a hash of its
+key, and an upsert rewrites only those that its batch touches.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: Folders that appends add to a table before they are put together, and rows a bucket from which a table has more than one.
+MOST_APPENDS, BUCKET_ROWS = 64, 2_000_000
 _CHARS = "array<struct<ch:string,start_sec:double,end_sec:double>>"
 _PLAN = "array<struct<offset:int,mark:string,kind:string,delta_t:double,verdict:string>>"
 
@@ -90,65 +96,138 @@ class Catalog:
     def schema(self, name: str) -> StructType:
         return StructType.fromDDL(self.tables[name].schema)
 
+    def _names(self, name: str) -> list[str]:
+        at = self._path(f"{self.root}/{name}")
+        return [x.getPath().getName() for x in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
     def version(self, name: str) -> int | None:
-        pointer = self._path(f"{self.root}/{name}/current")
-        if not self._fs.exists(pointer):
-            return None
-        return int(self.spark.read.text(f"{self.root}/{name}/current").first()[0])
+        return max((int(x[8:]) for x in self._names(name) if x.startswith("current-") and x[8:].isdigit()), default=None)
+
+    def parts(self, name: str, version: int | None = None) -> dict:
+        """What a version is: the number of its buckets, and its folders as [bucket, path]; a bucket of -1 has rows of any."""
+        v = self.version(name) if version is None else version
+        if v is None:
+            raise FileNotFoundError(f"no table {name} in {self.root}")
+        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.root}/{name}/current-{v}").collect()))
 
     def ensure(self) -> None:
-        """An empty first version of each table that is not there."""
+        """An empty first version of each table that is not there. Data without a version is left alone, and an error."""
         for name in self.tables:
             if self.version(name) is None:
-                self.overwrite(name, self.spark.createDataFrame([], self.schema(name)))
+                if any(x.startswith("v") for x in self._names(name)):
+                    raise ValueError(f"{self.root}/{name} has data but no version: restore its current-<n> file")
+                self._commit(name, 1, {"buckets": 1, "parts": []})
 
-    def read(self, name: str) -> DataFrame:
+    def _frame(self, name: str, folders: list[str]) -> DataFrame:
+        schema = self.schema(name)
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.root}/{name}/{x}" for x in folders))
+
+    def read(self, name: str, version: int | None = None) -> DataFrame:
         """Columns that were added to the schema after a version was written read as null."""
-        v = self.version(name)
-        if v is None:
-            raise FileNotFoundError(f"no table {name} in {self.root}")
-        return self.spark.read.schema(self.schema(name)).parquet(f"{self.root}/{name}/v{v}")
+        return self._frame(name, [path for _, path in self.parts(name, version)["parts"]])
 
-    def overwrite(self, name: str, df: DataFrame) -> int:
-        old = self.version(name)
-        new = (old or 0) + 1
-        df.select(*(F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema(name))).write.mode("overwrite").parquet(f"{self.root}/{name}/v{new}")
-        aside = self._path(f"{self.root}/{name}/.current")
-        out = self._fs.create(aside, True)
-        out.write(bytearray(str(new).encode()))
+    def _commit(self, name: str, version: int, parts: dict) -> None:
+        self._fs.mkdirs(self._path(f"{self.root}/{name}"))
+        out = self._fs.create(self._path(f"{self.root}/{name}/current-{version}"), False)
+        out.write(bytearray(json.dumps(parts).encode()))
         out.close()
-        self._fs.delete(self._path(f"{self.root}/{name}/current"), False)
-        self._fs.rename(aside, self._path(f"{self.root}/{name}/current"))
-        if new > 2:  # the version before this one stays for readers that have opened it
-            self._fs.delete(self._path(f"{self.root}/{name}/v{new - 2}"), True)
+
+    def _write(self, name: str, df: DataFrame, version: int, buckets: int) -> list:
+        """df as folders of this version, one a bucket."""
+        df = df.select(*(F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema(name)))
+        folder = f"v{version}-{uuid.uuid4().hex[:8]}"
+        if buckets == 1:
+            df.write.parquet(f"{self.root}/{name}/{folder}")
+            return [[0, folder]]
+        df.withColumn("_bucket", self._bucket(name, buckets)).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.root}/{name}/{folder}")
+        found = [x.getPath().getName() for x in self._fs.listStatus(self._path(f"{self.root}/{name}/{folder}"))]
+        return [[int(x[8:]), f"{folder}/{x}"] for x in sorted(found) if x.startswith("_bucket=")]
+
+    def _bucket(self, name: str, buckets: int):
+        return F.pmod(F.xxhash64(*self.tables[name].keys), F.lit(buckets)).cast("int")
+
+    def _forget(self, name: str, version: int) -> None:
+        """Deletes what neither this version nor the one before has; that one stays for readers that have opened it."""
+        live = {path.split("/")[0] for v in (version, version - 1) if v > 0 for _, path in self.parts(name, v)["parts"]}
+        for x in self._names(name):
+            old = int(x[8:]) < version - 1 if x.startswith("current-") else x.startswith("v") and int(x[1:].split("-")[0]) < version and x not in live
+            if old:
+                self._fs.delete(self._path(f"{self.root}/{name}/{x}"), True)
+
+    def overwrite(self, name: str, df: DataFrame, buckets: int = 1) -> int:
+        new = (self.version(name) or 0) + 1
+        self._commit(name, new, {"buckets": buckets, "parts": self._write(name, df, new, buckets)})
+        self._forget(name, new)
         return new
 
+    def append(self, name: str, df: DataFrame) -> int:
+        """Adds rows whose keys the table does not have, without reading it; every MOST_APPENDS-th time its folders become one again."""
+        old = self.version(name)
+        now = self.parts(name, old)
+        if len(now["parts"]) >= MOST_APPENDS + now["buckets"]:
+            return self.overwrite(name, self.read(name, old).unionByName(df, allowMissingColumns=True), now["buckets"])
+        self._commit(name, old + 1, {**now, "parts": now["parts"] + [[-1, p] for _, p in self._write(name, df, old + 1, 1)]})
+        self._forget(name, old + 1)
+        return old + 1
+
     def upsert(self, name: str, batch: DataFrame) -> int:
-        """Puts the batch in, and returns its rows."""
+        """Puts the batch in, and returns its rows. Of a table in buckets, those that the batch touches are written anew."""
         keys = list(self.tables[name].keys)
         batch = batch.select(*(F.col(c).cast(self.schema(name)[c].dataType) for c in batch.columns)).persist()
         try:
-            n, distinct = batch.agg(F.count("*"), F.count_distinct(F.struct(*keys))).first()
-            if n != distinct:
+            # a key that repeats shows as a row of two or more, which a combining aggregation finds without a set of all keys
+            repeats = batch.groupBy(*keys).count().agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+            n = repeats[0]
+            if repeats[1] > 1:
                 raise ValueError(f"the batch repeats a key {keys}")
             if n:
-                self.overwrite(name, upsert(self.read(name), batch, keys))
+                old = self.version(name)
+                now = self.parts(name, old)
+                if now["buckets"] == 1 or any(b < 0 for b, _ in now["parts"]):
+                    made = upsert(self.read(name, old), batch, keys)
+                    rows = n + self.read(name, old).count()
+                    self.overwrite(name, made, 1 << max(0, (rows // BUCKET_ROWS).bit_length()))
+                else:
+                    bucket = self._bucket(name, now["buckets"])
+                    touched = {r[0] for r in batch.select(bucket.alias("b")).distinct().collect()}  # as many as buckets at most
+                    made = upsert(self._frame(name, [p for b, p in now["parts"] if b in touched]), batch, keys)
+                    parts = [x for x in now["parts"] if x[0] not in touched] + self._write(name, made, old + 1, now["buckets"])
+                    self._commit(name, old + 1, {**now, "parts": parts})
+                    self._forget(name, old + 1)
             return n
         finally:
             batch.unpersist()
 
     def journal(self, run_id: str, node: str, items: DataFrame, status: str = "ok", error: str | None = None) -> int:
-        """A row in task_runs for each item."""
+        """A row in task_runs for each item; a run writes its items once, so they are appended."""
         now = F.current_timestamp()
-        return self.upsert("task_runs", items.select(F.lit(run_id).alias("run_id"), F.lit(node).alias("node"), F.col(items.columns[0]).cast("string").alias("item_id"), F.lit(status).alias("status"), now.alias("started"), now.alias("finished"), F.lit(error).cast("string").alias("error")).distinct())
+        rows = items.select(F.lit(run_id).alias("run_id"), F.lit(node).alias("node"), F.col(items.columns[0]).cast("string").alias("item_id"), F.lit(status).alias("status"), now.alias("started"), now.alias("finished"), F.lit(error).cast("string").alias("error")).distinct()
+        return self.append("task_runs", rows)
+
+    def last_run(self, run_id: str) -> DataFrame:
+        """(status, n) of a run's items."""
+        return self.read("task_runs").where(F.col("run_id") == run_id).groupBy("status").agg(F.count("*").alias("n"))
 
-    def verify(self) -> list[str]:
-        """What is wrong: keys that repeat, or more rows a segment than segments."""
-        found = []
+    def verify(self, floors: dict[str, int] | None = None, paths: int = 0) -> list[str]:
+        """What is wrong: keys that repeat, more rows a segment than segments, fewer rows than `floors` has for a table, and of a sample of
+        `paths` audio files those that are not there. Keys are counted by a combining aggregation."""
+        found, counts = [], {}
         for name, t in self.tables.items():
-            rows, distinct = self.read(name).agg(F.count("*"), F.count_distinct(F.struct(*t.keys))).first()
+            rows, distinct = self.read(name).groupBy(*t.keys).count().agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
+            counts[name] = rows
             if rows != distinct:
                 found.append(f"{name}: {rows - distinct} rows repeat a key")
-            if t.keys == ("id",) and name != "segments" and rows > self.read("segments").count():
+        for name, t in self.tables.items():
+            if t.keys == ("id",) and name != "segments" and counts[name] > counts.get("segments", counts[name]):
                 found.append(f"{name}: more rows than segments")
+        for name, least in (floors or {}).items():
+            if counts[name] < least:
+                found.append(f"{name}: {counts[name]} rows, {least} expected at least")
+        if paths:
+            sample = self.read("segments").where("audio_path is not null").select("audio_path").orderBy(F.xxhash64("audio_path")).limit(paths).collect()
+            gone = [r[0] for r in sample if not self._path(r[0]).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(self._path(r[0]))]
+            if gone:
+                found.append(f"segments: {len(gone)} of {len(sample)} sampled audio files are not there, as {gone[0]}")
         return found

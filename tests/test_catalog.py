@@ -69,3 +69,58 @@ def test_discovery_converges(spark):
     assert due(stale=("n", "v")) == ["None", "b"]
     assert due(stale=("n", "v"), protected=("me",)) == ["None"]
     assert discover(eligible.where("id is not null"), eligible).count() == 0
+
+
+def test_data_without_a_version_is_not_emptied(spark, catalog, tmp_path):
+    catalog.upsert("tiers", spark.createDataFrame([("a", "gold")], "id string, tier string"))
+    for f in (tmp_path / "catalog/tiers").glob("*current-*"):
+        f.unlink()
+    with pytest.raises(ValueError):
+        catalog.ensure()
+
+
+def test_a_write_that_dies_leaves_the_last_version(spark, catalog):
+    catalog.upsert("tiers", spark.createDataFrame([("a", "gold")], "id string, tier string"))
+    bad = spark.createDataFrame([("b", "x")], "id string, tier string").withColumn("tier", F.raise_error(F.lit("dies")))
+    with pytest.raises(Exception, match="dies"):
+        catalog.overwrite("tiers", bad)
+    assert [r["id"] for r in catalog.read("tiers").collect()] == ["a"]
+
+
+def test_one_of_two_writers_commits(spark, catalog):
+    v = catalog.version("tiers")
+    catalog._commit("tiers", v + 1, {"buckets": 1, "parts": []})
+    with pytest.raises(Exception, match="[Ee]xists"):
+        catalog._commit("tiers", v + 1, {"buckets": 1, "parts": []})
+
+
+def test_the_journal_is_appended(spark, catalog, monkeypatch):
+    monkeypatch.setattr("corvane.sources.catalog.MOST_APPENDS", 3)
+    for k in range(6):
+        catalog.journal(f"run{k}", "tier", spark.createDataFrame([(f"{k}-{i}",) for i in range(2)], "id string"), status="ok" if k else "error", error=None if k else "no disk")
+    assert catalog.read("task_runs").count() == 12
+    assert len(catalog.parts("task_runs")["parts"]) <= 4
+    assert [tuple(r) for r in catalog.last_run("run0").collect()] == [("error", 2)]
+
+
+def test_an_upsert_rewrites_only_the_buckets_it_touches(spark, catalog, monkeypatch):
+    monkeypatch.setattr("corvane.sources.catalog.BUCKET_ROWS", 10)
+    rows = spark.range(100).select(F.concat(F.lit("s"), "id").alias("id"), F.lit("gold").alias("tier"))
+    assert catalog.upsert("tiers", rows) == 100
+    before = catalog.parts("tiers")
+    assert before["buckets"] == 16
+    assert catalog.upsert("tiers", spark.createDataFrame([("s7", "silver")], "id string, tier string")) == 1
+    after = catalog.parts("tiers")
+    assert len([x for x in after["parts"] if x not in before["parts"]]) == 1
+    got = {r["id"]: r["tier"] for r in catalog.read("tiers").collect()}
+    assert len(got) == 100 and got["s7"] == "silver" and got["s8"] == "gold"
+    assert catalog.upsert("tiers", spark.createDataFrame([("new", "bronze")], "id string, tier string")) == 1
+    assert catalog.read("tiers").count() == 101
+
+
+def test_verify_floors_and_paths(spark, catalog, tmp_path):
+    there = tmp_path / "a.flac"
+    there.write_text("x")
+    catalog.upsert("segments", spark.createDataFrame([("a", f"file://{there}"), ("b", f"file://{tmp_path}/gone.flac")], "id string, audio_path string"))
+    found = catalog.verify(floors={"segments": 3, "tiers": 0}, paths=10)
+    assert len(found) == 2 and "3 expected" in found[0] and "1 of 2" in found[1]

@@ -59,23 +59,80 @@ def test_agreement_rows(spark):
     assert got == {"a": (1.0, "一二", 2), "b": (0.0, "x", 2), "d": (0.0, "x", 2)}
 
 
-CHARS = [("你", 0.0, 0.2), ("好", 0.3, 0.5), ("嗎", 1.0, 1.2)]
+def test_agreement_counts_texts_as_they_came(spark):
+    """Three texts that are not empty, of which one has nothing but a mark: it agrees with none."""
+    rows = [("e", f"m{k}", t, 0.5) for k, t in enumerate(["。", "你好", "你好"])] + [("f", "m0", "。", 0.9), ("f", "m1", "", 0.99), ("g", "m0", None, None), ("g", "m1", "x", None)]
+    got = {r["id"]: (r["agreement"], r["best_text"]) for r in A.agreement_rows(spark.createDataFrame(rows, "id string, model string, text string, confidence double")).collect()}
+    assert got == {"e": (0.333, "。"), "f": (0.0, "。"), "g": (0.0, "x")}
 
 
-@pytest.mark.parametrize("text,kinds", [("你好嗎", []), ("，你好嗎", ["leading_tail"]), ("你,好嗎。", ["normal", "trailing_tail"]), ("你好。嗎.", ["normal"]), ("你好", None), ("", None)])
+def test_models_are_resolved(spark):
+    rows = [("a", "/new/ft+zh", "一二", None), ("a", "/old/ft+zh", "三", 0.99), ("a", "sv", "一二", 0.4), ("a", "who knows", "x", 1.0), ("a", "retired", "y", 1.0), ("b", "/old/ft+zh", "三", 0.9), ("b", "who knows", "四", 0.9)]
+    models = {"/new/ft+zh": "ft", "/old/ft+zh": "ft", "sv": "sv", "retired": "v3"}
+    df = A.agreement_rows(spark.createDataFrame(rows, "id string, model string, text string, confidence double"), retired=("v3",), models=models, current={"ft": "/new/ft+zh"}, primary="ft")
+    got = {r["id"]: (r["agreement"], r["best_text"], r["model_count"], r["canto_ft_confidence"]) for r in df.collect()}
+    assert got == {"a": (1.0, "一二", 5, 0.0), "b": (0.0, "", 2, None)}
+
+
+CHARS = ("你好嗎", (0.0, 0.3, 1.0), (0.2, 0.5, 1.2))
+
+
+@pytest.mark.parametrize("text,kinds", [("你好嗎", []), ("，你好嗎", ["leading_tail"]), ("你,好嗎。", ["normal", "trailing_tail"]), ("你好。嗎.", ["normal"]), ("你好…嗎", []), ("你好", None), ("", None)])
 def test_pause_walk(text, kinds):
-    events, bad = P.walk(text, CHARS, 2.0)
-    assert bad == (kinds is None) and [e[2] for e in events] == (kinds or [])
+    events, bad = P.walk(text, *CHARS, 2.0)
+    assert bad == (kinds is None) and [e["kind"] for e in events] == (kinds or [])
+
+
+def one_by_one(text, chars, starts, ends, duration):
+    """The walk, a character at a time."""
+    at, out = 0, []
+    for offset, c in enumerate(text):
+        if at < len(chars) and c == chars[at]:
+            at += 1
+        elif c in ",?!;:，。、；：？！":
+            kind = "leading_tail" if at == 0 else "trailing_tail" if at >= len(chars) else "normal"
+            delta = {"leading_tail": None, "trailing_tail": round(duration - ends[-1], 4) if len(ends) else None, "normal": round(starts[at] - ends[at - 1], 4) if 0 < at < len(chars) else None}[kind]
+            out.append((offset, kind, delta))
+    return ([], True) if at != len(chars) else (out, False)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("ab,。 x:", max_size=25), st.text("ab,x", max_size=8), st.booleans())
+def test_pause_walk_is_the_walk_by_characters(text, chars, own):
+    chars = "".join(c for c in text if c in "abx") if own else chars
+    starts = [0.5 * k + 0.1 * (k % 3) for k in range(len(chars))]
+    ends = [s + 0.2 for s in starts]
+    events, bad = P.walk(text, chars, starts, ends, 30.0)
+    assert ([(e["offset"], e["kind"], e["delta_t"]) for e in events], bad) == one_by_one(text, chars, starts, ends, 30.0)
+
+
+def test_pause_plan_and_preview(spark):
+    df = spark.createDataFrame([("，你，好嗎。", [("你", 0.0, 0.2), ("好", 0.3, 0.5), ("嗎", 1.0, 1.2)], 2.0), (None, None, None), ("。", [], None)], "t string, c array<struct<ch:string,start_sec:double,end_sec:double>>, d double")
+    rows = df.select(P.pause_plan(F.col("t"), F.col("c"), F.col("d")).alias("p"), P.preview(F.col("t"), F.col("c"), F.col("d")).alias("q")).collect()
+    assert [(e["kind"], e["delta_t"], e["verdict"]) for e in rows[0]["p"]["plan"]] == [("leading_tail", None, None), ("normal", 0.1, "no_pause"), ("trailing_tail", 0.8, None)]
+    assert [(e["t_start"], e["t_end"]) for e in rows[0]["q"]["plan"]] == [(0.0, 0.0), (0.2, 0.3), (1.2, 2.0)]
+    assert rows[1]["p"]["plan"] == [] and not rows[1]["p"]["unalignable"] and rows[2]["p"]["plan"][0]["kind"] == "leading_tail"
 
 
 def test_pause_verdicts_and_tokens(spark):
-    events, _ = P.walk("你，好。嗎！", CHARS, 2.0)
-    assert [e[3:] for e in events] == [(0.1, "no_pause"), (0.5, "long"), (0.8, None)]
-    df = spark.createDataFrame([("你，好。嗎！", [e for e in events])], f"t string, plan {P.PLAN}")
-    assert df.select(P.text_pause(F.col("t"), F.col("plan"))).first()[0] == "你好。<|long|>嗎！"
+    events, _ = P.walk("你，好。嗎！", *CHARS, 2.0)
+    assert [(e["delta_t"], e["verdict"]) for e in events] == [(0.1, "no_pause"), (0.5, "long"), (0.8, None)]
+    keep = ("offset", "mark", "kind", "delta_t", "verdict")
+    df = spark.createDataFrame([("你，好。嗎！", [tuple(e[k] for k in keep) for e in events])], f"t string, plan {P.PLAN}")
+    assert df.select(P.text_pause(F.col("t"), F.col("plan"))).first()[0] == "你好。<pause-long>嗎！"
     assert df.select(P.text_pause(F.lit("你x好"), F.col("plan"))).first()[0] == "你x好"
 
 
+def test_slugs_keep_every_script(spark):
+    titles = ["香港電台 節目一", "  Été - À_la  carte!", "a" * 60, "", None, "第\u3000二 (2)", "...", "İstanbul №5"]
+    import re
+
+    slow = lambda t: re.sub(r"[\s_-]+", "_", re.sub(r"[^\w\s-]", "", t.lower())).strip("_")[:40]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(titles)], "i int, t string").orderBy("i").select(T.slugify(F.col("t")))
+    got = [r[0] for r in df.collect()]
+    assert got[:7] == [slow(t or "") for t in titles[:7]]
+
+
 def test_python_rounding(spark):
     values = [2.675, 0.125, 1.005, -0.5, None]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i")
