@@ -50,6 +50,8 @@ def new_dir(spark: SparkSession, name: str) -> str:
 
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Files of a table of a few numbers a row, at most, for each core of the cluster.
+FILES_A_CORE, INPUT_A_FILE = 3, 2 << 30
 SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -114,8 +116,17 @@ class Cuts:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, {}
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
-        """df as a table in the shared folder. What was shuffled for it is deleted, as the table takes its place."""
+    def cut(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+        """df as a table in the shared folder. What was shuffled for it is deleted, as the table takes its place.
+
+        A `narrow` one, of some numbers a row, is written by FILES_A_CORE tasks a core, or one for each INPUT_A_FILE bytes read for it if those are
+        more, so that many steps do not make a small file for each partition of each."""
+        if narrow:
+            leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+            read = sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+            most = FILES_A_CORE * max(2, self.spark.sparkContext.defaultParallelism)
+            if read < 1 << 60:  # known
+                df = df.coalesce(max(most, read // INPUT_A_FILE))
         self.paths[name] = path = new_dir(self.spark, name)
         was = self.spark.conf.get(SHUFFLES)
         self.spark.conf.set(SHUFFLES, "true")

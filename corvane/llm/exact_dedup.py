@@ -45,9 +45,9 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     full = F.unhex(F.sha2(F.col("_t"), 256))
     rows = rows.select("_id", "_hit", (full if digest else F.when(F.col("_hit"), full)).alias("_full"))
     cuts = Cuts(df.sparkSession)
-    rows = cuts.cut(rows, "exact-dedup")
+    rows = cuts.cut(rows, "exact-dedup", narrow=True)
     groups = rows.where("_hit").groupBy(F.col("_full").alias("_key")).agg(F.min("_id").alias("_keep"), F.count("*").alias("_size")).where("_size > 1")
-    groups = cuts.cut(groups, "exact-groups")  # both sides of the join are then plain exchanges, whose hot keys Spark can split
+    groups = cuts.cut(groups, "exact-groups", narrow=True)  # both sides of the join are then plain exchanges, whose hot keys Spark can split
     # a row without a partner gets a key of its own, so that such rows do not meet in one task
     key = F.when(F.col("_hit"), F.col("_full")).otherwise(F.concat(F.lit("row:"), F.monotonically_increasing_id().cast("string")).cast("binary"))
     out = rows.withColumn("_key", key).join(groups, "_key", "left")

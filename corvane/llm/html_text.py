@@ -292,7 +292,7 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     cast = pages.select(host(F.col(url_col)).alias("_host"), F.col(html_col)).mapInArrow(votes, "_host string, _path string, _votes long")
     # salted by the path: one host may have a third of all pages
     counted = cast.groupBy("_host", "_path").agg(F.sum("_votes").alias("_votes"))
-    counted = Cuts(pages.sparkSession).cut(counted, "host-votes")
+    counted = Cuts(pages.sparkSession).cut(counted, "host-votes", narrow=True)
     total = counted.groupBy("_host").agg(F.sum("_votes").alias("_total"))
     kept = counted.join(total, "_host").where(F.col("_votes") >= MIN_SHARE * F.col("_total"))
     listed = F.sort_array(F.collect_list(F.struct((-F.col("_votes")).alias("v"), F.col("_path").alias("p"))))
@@ -308,7 +308,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     row; an empty table gives an empty result. Other columns are not read.
     """
     spark = ship(pages.sparkSession)
-    winners = Cuts(spark).cut(host_paths(pages, url_col, html_col), "host-paths")
+    winners = Cuts(spark).cut(host_paths(pages, url_col, html_col), "host-paths", narrow=True)
     chars = winners.agg(F.sum(F.length("_host") + F.length(F.concat_ws("", "_paths")) + 64)).first()[0] or 0
     rows = pages.select(F.col(id_col), F.col(url_col), F.col(html_col), host(F.col(url_col)).alias("_host"))
     rows = rows.join(F.broadcast(winners) if chars <= BROADCAST_CHARS else winners, "_host", "left")

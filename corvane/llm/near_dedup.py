@@ -10,11 +10,12 @@ that then still holds more than one component, two members can be similar in two
 - they share a shingle outside the pivot's set: members go into a new, much smaller bucket for each such shingle, and
   those are treated in the same way (with a member as pivot, and what is outside all pivots so far), level after level,
   until no bucket of several components is left;
-- they share shingles of the pivots only, so no more than the smaller of the two numbers that each has of these: where that
-  allows the similarity at all, the pair is compared.
+- they share shingles of the pivots only, so no more than the smaller of the two numbers that each has of these. Members that are
+  not of the pivot's component are compared with those that this allows: by size where they are FEW, else with those that
+  share one of the shingles of the pivots that come first in each (a pair that is similar must).
 
-A bucket of at most SMALL members has its pairs compared at once. So no pair of a bucket is passed over, and none of a large one is
-compared that need not be. Only counts come to the driver.
+A bucket of at most SMALL members has its pairs of two components compared at once. So no pair of a bucket is passed over, and none of a large one is
+compared that need not be. A level compares all its pairs in one pass. Only counts come to the driver.
 
 Sets are computed again from the text, and kept, for classes that share a bucket with another only.
 """
@@ -32,9 +33,12 @@ from corvane.llm.common import Cuts, keeps, maybe_in, ship, table, whole
 WIDTH, PERCENT = 5, 80
 BANDS = 32
 #: In a bucket of so many members each is compared with each; larger ones go by pivots.
-SMALL = 8
+#: After the first level buckets hold what pivots have left, and so many are compared.
+SMALL, SMALL_LATER = 8, 64
 #: Counts of a set's shingles by parts of their hashes bound how many two sets share.
 PARTS = 64
+#: Under a pivot with so many members outside its component, each of these looks at all members of its size.
+FEW = 64
 CACHE_WORDS = 300_000
 _words: dict[bytes, int] = {}
 _ALL = (1 << 64) - 1
@@ -51,8 +55,13 @@ def _mix(h):
 
 
 def rows_of(percent: int) -> int:
-    """Signature values a band: with 32 bands a pair at the least similarity is missed about once in a million times."""
-    return 6 if percent >= 85 else 4
+    """Signature values a band, an even number: a pair at the least similarity is missed about once in a million times with 32 bands.
+
+    At 59 % and below there are two, the least, and the chance grows: one in 10,000 at 50 %, one in 200 at 40 %.
+    """
+    if not 40 <= percent <= 100:
+        raise ValueError(f"{percent} hundredths: {BANDS} bands find pairs from 40 on")
+    return max(2, min(16, 2 * int(np.log(1 - 1e-6 ** (1 / BANDS)) / np.log(min(percent, 99) / 100) / 2)))
 
 
 def release() -> None:
@@ -99,8 +108,9 @@ def signature(s: np.ndarray, rows: int) -> np.ndarray:
 def components(edges: DataFrame, cuts: Cuts, name: str) -> DataFrame:
     """(node, label) of each node of the edges (u, v): the least node of its component, by alternating large and small stars."""
     pair = lambda df: df.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges, k, was = cuts.cut(pair(edges), f"{name}-0"), 0, None
-    while True:
+    edges, k = cuts.cut(pair(edges), f"{name}-0", narrow=True), 0
+    # done when each node has one edge to a node that has none of its own
+    while not edges.groupBy("u").count().where("count > 1").select("u").union(edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi")).isEmpty():
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
         large = pair(both.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")))
@@ -108,60 +118,66 @@ def components(edges: DataFrame, cuts: Cuts, name: str) -> DataFrame:
         small = large.join(least, F.col("u") == F.col("w"))
         small = pair(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select(F.col("w").alias("u"), F.col("m").alias("v"))))
         k += 1
-        new = cuts.cut(small, f"{name}-{k}")
+        edges = cuts.cut(small, f"{name}-{k}", narrow=True)
         cuts.drop(f"{name}-{k - 1}")
-        edges = new
-        now = tuple(new.agg(F.count("*"), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)"))).first())
-        if now == was:
-            break
-        was = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) with the number of shingles `both` have."""
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) of which `percent` hundredths of the union are in both."""
     x = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("s_a")), "a").join(sets.select(F.col("c").alias("b"), F.col("s").alias("s_b")), "b")
 
     def run(batches):
         for b in batches:
-            both = []
+            keep = []
             for x, y in zip(b.column(2), b.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both.append(int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64())], names=["a", "b", "both"])
+                both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
-    return x.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long, both long")
+    return x.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
-def _outside(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(path, c, n, l, own): what is outside the pivot l of `own`, the shingles of c outside the pivots so far, which path names."""
+def _outside(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """members (path, c, n, l, label, label_l, own, inn) after their pivot l: `own`, the shingles of c outside the pivots so far,
+    which the new path names, `inn`, those inside, and of these the `first` that a similar set inside must share one of."""
     x = members.join(sets.select(F.col("c").alias("l"), F.col("s").alias("s_l")), "l")
 
     def run(batches):
         for b in batches:
-            own = []
-            for x, y in zip(b.column(4), b.column(5)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                own.append(x[y[np.minimum(np.searchsorted(y, x), len(y) - 1)] != x].tobytes())
+            own, inn, first = [], [], []
+            for n, x, i, y in zip(b.column(2).to_pylist(), b.column(6), b.column(7), b.column(8)):
+                x, i, y = (np.frombuffer(k.as_buffer(), np.uint64) for k in (x, i, y))
+                hit = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+                own.append(x[~hit].tobytes())
+                i = np.sort(np.concatenate([i, x[hit]]))
+                inn.append(i.tobytes())
+                first.append(i[: max(0, len(i) + (-percent * n) // 100 + 1)].tobytes())
             path = _mix(_mix(b.column(0).to_numpy().view(np.uint64)) + b.column(3).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), b.column(1), b.column(2), b.column(3), pa.array(own, pa.binary()), pa.array([len(o) // 8 for o in own], pa.int64())], names=["path", "c", "n", "l", "own", "n_own"])
+            yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), *(b.column(k) for k in range(1, 6)), pa.array([len(i) // 8 for i in inn], pa.int64()), *(pa.array(k, pa.binary()) for k in (own, inn, first))], names=["path", "c", "n", "l", "label", "label_l", "both", "own", "inn", "first"])
 
-    return x.select("path", "c", "n", "l", "own", "s_l").mapInArrow(run, "path long, c long, n long, l long, own binary, n_own long")
+    return x.select("path", "c", "n", "l", "label", "label_l", "own", "inn", "s_l").mapInArrow(run, "path long, c long, n long, l long, label long, label_l long, both long, own binary, inn binary, first binary")
 
 
-def _buckets(members: DataFrame) -> DataFrame:
-    """(path, c, n, band): a bucket for each shingle of `own`."""
+def _by_shingle(members: DataFrame, of: str) -> DataFrame:
+    """(path, c, band): a bucket for each shingle in the column `of`, in batches of bounded size."""
 
     def run(batches):
         for b in batches:
-            own = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(3)]
-            row = pa.array(np.repeat(np.arange(len(own)), [len(o) for o in own]), pa.int64())
-            if len(row):
-                path = b.column(0).take(row)
-                band = _mix(np.concatenate(own) + _mix(path.to_numpy().view(np.uint64)))
-                yield pa.RecordBatch.from_arrays([path, b.column(1).take(row), b.column(2).take(row), pa.array(band.view(np.int64))], names=["path", "c", "n", "band"])
+            found = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(2)]
+            row = np.repeat(np.arange(len(found)), [len(o) for o in found])
+            if not len(row):
+                continue
+            flat = np.concatenate(found)
+            for k in range(0, len(row), 1 << 16):
+                at = pa.array(row[k : k + (1 << 16)], pa.int64())
+                path = b.column(0).take(at)
+                band = _mix(flat[k : k + (1 << 16)] + _mix(path.to_numpy().view(np.uint64)))
+                yield pa.RecordBatch.from_arrays([path, b.column(1).take(at), pa.array(band.view(np.int64))], names=["path", "c", "band"])
 
-    return members.select("path", "c", "n", "own").mapInArrow(run, "path long, c long, n long, band long")
+    return members.select("path", "c", of).mapInArrow(run, "path long, c long, band long")
 
 
 def _able(percent: int):
@@ -171,23 +187,57 @@ def _able(percent: int):
     return fits & ((100 + percent) * both >= percent * (F.col("n") + F.col("n2")))
 
 
-def _inside(members: DataFrame, percent: int) -> DataFrame:
+def _inside(members: DataFrame, percent: int, few: int = FEW) -> DataFrame:
     """Pairs (a, b) of members of one path and two components that could be similar by shingles of its pivots only.
 
     `both` is how many of its shingles are in pivots. With x shingles in both, similarity asks for percent / (100 + percent)
-    of n + n2, and x is at most the smaller `both`. Members meet by size, in bins of about three per cent.
+    of n + n2, and x is at most the smaller `both`. A member outside its pivot's component asks. Where up to `few` do, they meet all
+    members by size, in bins of about three per cent; where more do, by each shingle of their `first`.
     """
     share = percent / (100 + percent)
     bin_of = lambda c: F.floor(F.log(c.cast("double")) * 33)
     most = F.floor(F.col("both") / share - F.col("n") + 1e-6)
     least = F.ceil(F.col("n") * percent / 100 - 1e-6)
-    ask = members.where(F.col("label") != F.col("label_l")).where(most >= least)
-    ask = ask.select("path", "c", "n", "both", "label", "h", F.explode(F.sequence(bin_of(F.greatest(least, F.lit(1))), bin_of(F.greatest(most, F.lit(1))))).alias("bin"))
-    have = members.where(F.col("both") >= F.ceil(share * (F.col("n") + F.col("n") * percent / 100) - 1e-6))
-    have = have.select("path", bin_of(F.col("n")).alias("bin"), F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("both").alias("both2"), F.col("label").alias("label2"), F.col("h").alias("h2"))
-    enough = F.least("both", "both2") >= share * (F.col("n") + F.col("n2")) - 1e-6
-    pairs = ask.join(have, ["path", "bin"]).where((F.col("label") != F.col("label2")) & enough & _able(percent))
-    return pairs.select(F.greatest("c", "c2").alias("a"), F.least("c", "c2").alias("b")).distinct()
+    asks = F.col("label") != F.col("label_l")
+    many = members.groupBy("path").agg(F.count(F.when(asks, 1)).alias("asking")).where(F.col("asking") > few).select("path", F.lit(True).alias("many"))
+    able = members.where(F.col("both") >= F.ceil(share * (F.col("n") + F.col("n") * percent / 100) - 1e-6)).join(many, "path", "left")
+    ask = able.where(asks & (most >= least))
+    other = lambda df, *keys: df.select("path", *keys, F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("both").alias("both2"), F.col("label").alias("label2"), F.col("h").alias("h2"))
+    mine = ["path", "c", "n", "both", "label", "h"]
+    by_size = ask.where("many is null").select(*mine, F.explode(F.sequence(bin_of(F.greatest(least, F.lit(1))), bin_of(F.greatest(most, F.lit(1))))).alias("bin"))
+    by_size = by_size.join(other(able.where("many is null").withColumn("bin", bin_of(F.col("n"))), "bin"), ["path", "bin"])
+    first = able.where("many")
+    bands = _by_shingle(first, "first")
+    by_first = ask.where("many").select(*mine).join(bands, ["path", "c"]).join(other(first.select(*mine).join(bands, ["path", "c"]), "band"), ["path", "band"])
+    enough = (F.col("label") != F.col("label2")) & (F.least("both", "both2") >= share * (F.col("n") + F.col("n2")) - 1e-6) & _able(percent)
+    pairs = [df.where(enough).select(F.greatest("c", "c2").alias("a"), F.least("c", "c2").alias("b")) for df in (by_size, by_first)]
+    return pairs[0].union(pairs[1]).distinct()
+
+
+def _open(buckets: DataFrame) -> DataFrame:
+    """The rows (band, c, label, ...) of buckets with more than one component, with their size; of buckets with the same members one."""
+    member = F.xxhash64("c")
+    spread = buckets.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"), F.bit_xor(member).alias("x"), F.sum(member.bitwiseAND(F.lit((1 << 31) - 1))).alias("y"))
+    spread = spread.where("lo <> hi").groupBy("size", "x", "y").agg(F.min("band").alias("band")).select("band", "size")
+    return buckets.join(spread, "band")
+
+
+def _pivots(large: DataFrame, rounds: int) -> DataFrame:
+    """(band, l, label_l): of each bucket the member whose buckets have the most members. In each further round, of a member's buckets
+    the first pivot, and of a bucket's members again: a group of copies then has one."""
+    code = F.struct("score", F.xxhash64("c").alias("draw"), "c", "label")
+    rows = large.join(large.groupBy("c").agg(F.sum("size").alias("score")), "c").select("band", "c", code.alias("code"))
+    top = rows.groupBy("band").agg(F.max("code").alias("top"))
+    for _ in range(rounds):
+        best = rows.select("band", "c").join(top, "band").groupBy("c").agg(F.max("top").alias("top"))
+        top = rows.select("band", "c").join(best, "c").groupBy("band").agg(F.max("top").alias("top"))
+    return top.select("band", F.col("top.c").alias("l"), F.col("top.label").alias("label_l"))
+
+
+def _classes(signed: DataFrame) -> DataFrame:
+    """Of each shingle set its least id, a row that has it, its bands, and how many rows have it."""
+    columns = (F.min("id").alias("rep"), F.min("row").alias("row"), F.min("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("k"), F.min("d").alias("d"), F.max("d").alias("d_hi"))
+    return signed.where("n > 0").groupBy("c").agg(*columns)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -204,100 +254,75 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     @keeps("near_dedup")
     def sign(batches):
         for b in batches:
-            n, c, bands = [], [], []
-            for t in b.column(2).to_pylist():
-                s = shingles(t, width)
+            n, c, d, bands = [], [], [], []
+            for t in b.column(2):
+                s = shingles(t.as_py(), width)
                 n.append(len(s))
-                x = _mix(s)
-                c.append(((int(x.sum(dtype=np.uint64)) * 31 + int(np.bitwise_xor.reduce(x)) * 0x9E3779B97F4A7C15 + len(s)) & _ALL) - (1 << 63))
-                bands.append(signature(s, rows).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(bands, pa.binary())], names=["id", "row", "n", "c", "bands"])
-
-    signed = cuts.cut(docs.select("id", "row", "t").mapInArrow(sign, f"id {kind}, row long, n long, c long, bands binary"), "near-signed")
-    classes = cuts.cut(signed.where("n > 0").groupBy("c", "n").agg(F.min("id").alias("rep"), F.min("row").alias("row"), F.first("bands").alias("bands")), "near-classes")
-    # big-endian words of the packed keys: only equality matters
-    key = F.expr(f"transform(sequence(0, {BANDS - 1}), i -> cast(conv(hex(substring(bands, 8 * i + 1, 8)), 16, -10) as bigint))")
-    buckets = cuts.cut(classes.select("c", "n", F.explode(key).alias("band")), "near-buckets")
-    shared = buckets.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band")
-    left = cuts.cut(buckets.join(shared, "band").withColumn("path", F.lit(0).cast("long")), "near-left-0")
-    cuts.drop("near-buckets")
-    wanted = cuts.cut(classes.join(left.select("c").distinct(), "c", "left_semi").select("c", F.col("row")), "near-wanted")
+                for out, x in ((c, _mix(s)), (d, _mix(s + np.uint64(BANDS)))):  # two hashes of the set
+                    out.append(((int(x.sum(dtype=np.uint64)) * 31 + int(np.bitwise_xor.reduce(x)) * 0x9E3779B97F4A7C15 + len(s)) & _ALL) - (1 << 63))
+                bands.append(signature(s, rows).view(np.int64) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, pa.int64()) for x in (n, c, d)), pa.array(bands, pa.list_(pa.int64()))], names=["id", "row", "n", "c", "d", "bands"])
+
+    signed = cuts.cut(docs.select("id", "row", "t").mapInArrow(sign, f"id {kind}, row long, n long, c long, d long, bands array<long>"), "near-signed", narrow=True)
+    classes = cuts.cut(_classes(signed), "near-classes", narrow=True)
+    clash = classes.where("d <> d_hi").select("c", F.lit(True).alias("clash"))
+    if not clash.isEmpty():  # two sets with one first hash (not to be expected below 10^9 sets): both hashes name them
+        signed = signed.join(clash, "c", "left").withColumn("c", F.when(F.col("clash"), F.xxhash64("c", "d", "n")).otherwise(F.col("c"))).drop("clash")
+        signed = cuts.cut(signed, "near-renamed")
+        classes = cuts.cut(_classes(signed), "near-classes-again")
+    buckets = classes.select(F.lit(0).cast("long").alias("path"), "c", "n", F.explode("bands").alias("band"), F.col("c").alias("label"))
+    mine = cuts.cut(_open(buckets), "near-open-0", narrow=True)
+    wanted = cuts.cut(classes.join(mine.select("c").distinct(), "c", "left_semi").select("c", "row"), "near-wanted", narrow=True)
 
     @keeps("near_dedup")
     def full(batches):
         for b in batches:
-            found = [shingles(t, width) for t in b.column(1).to_pylist()]
+            found = [shingles(t.as_py(), width) for t in b.column(1)]
             counts = [np.bincount((x & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS) for x in found]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in found], pa.binary()), pa.array(counts, pa.list_(pa.int32()))], names=["c", "s", "h"])
 
-    found = maybe_in(docs, "row", wanted.select("row")).where("_maybe").join(wanted, "row")  # other texts are not shuffled
-    sets = cuts.cut(found.select("c", "t").mapInArrow(full, "c long, s binary, h array<int>"), "near-sets")
-    sizes = classes.select("c", "n")
-    of = cuts.cut(classes.select("c", F.col("c").alias("label")), "near-labels-0")
-    level, own = 0, sets.select(F.lit(0).cast("long").alias("path"), "c", F.col("s").alias("own"))
-    while True:
-        # buckets with more than one component; of buckets with the same members one
-        mine = left.join(of, "c")
-        member = F.xxhash64("c")
-        spread = mine.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"), F.bit_xor(member).alias("x"), F.sum(member.bitwiseAND(F.lit((1 << 31) - 1))).alias("y"))
-        spread = spread.where("lo <> hi").groupBy("size", "x", "y").agg(F.min("band").alias("band")).select("band", "size")
-        mine = cuts.cut(mine.join(spread, "band"), f"near-open-{level}")
-        if mine.isEmpty():
-            break
-        few = mine.where(F.col("size") <= SMALL).join(sets.select("c", "h"), "c").select("band", "c", "n", "label", "h")
+    of, pending, level = wanted.select("c", F.col("c").alias("label")), None, 0
+    if not mine.isEmpty():
+        found = maybe_in(docs, "row", wanted.select("row")).where("_maybe").join(wanted, "row")  # other texts are not shuffled
+        sets = cuts.cut(found.select("c", "t").mapInArrow(full, "c long, s binary, h array<int>"), "near-sets")
+        if sets.count() > wanted.count():  # rows that repeat an id and its text
+            sets = cuts.cut(sets.dropDuplicates(["c"]), "near-sets-once")
+        own = sets.select(F.lit(0).cast("long").alias("path"), "c", F.col("s").alias("own"), F.lit(b"").alias("inn"))
+    while pending is not None or not mine.isEmpty():
+        small = SMALL if level == 0 else SMALL_LATER
+        few = mine.where(F.col("size") <= small).join(sets.select("c", "h"), "c").select("band", "c", "n", "label", "h")
         other = few.select("band", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("label2"), F.col("h").alias("h2"))
-        pairs = few.join(other, "band").where((F.col("c") > F.col("c2")) & (F.col("label") != F.col("label2")) & _able(percent)).select(F.col("c").alias("a"), F.col("c2").alias("b")).distinct()
-        pairs = cuts.cut(pairs, f"near-few-{level}")
-        if not pairs.isEmpty():
-            of = _link(_compare(pairs, sets), sizes, of, percent, cuts, f"near-{level}-few")
-        mine = mine.where(F.col("size") > SMALL)
-        if mine.isEmpty():
-            break
-        score = cuts.cut(mine.groupBy("c").agg(F.sum("size").alias("score")), f"near-score-{level}")
-        code = F.struct(F.col("score"), F.xxhash64("c").alias("draw"), F.col("c"))
-        mine = mine.join(score, "c").select("path", "c", "n", "band", code.alias("code"))
-        pivots = cuts.cut(mine.groupBy("band").agg(F.max("code").alias("top")), f"near-pivots-{level}")
-        if level == 0:  # of a member's buckets the first pivot, and of a bucket's members again: a group of copies then has one
-            for _ in range(2):
-                best = mine.select("band", "c").join(pivots, "band").groupBy("c").agg(F.max("top").alias("top"))
-                pivots = cuts.cut(mine.select("band", "c").join(best, "c").groupBy("band").agg(F.max("top").alias("top")), f"near-pivots-{level}")
-        mine = mine.join(pivots.select("band", F.col("top.c").alias("l")), "band")
-        pairs = cuts.cut(mine.where("c <> l").select("path", "c", "l", "n").distinct(), f"near-pairs-{level}")
-        seen = _compare(pairs.select(F.col("c").alias("a"), F.col("l").alias("b")).distinct(), sets)
-        of = _link(seen, sizes, of, percent, cuts, f"near-{level}")
+        pairs = few.join(other, "band").where((F.col("c") > F.col("c2")) & (F.col("label") != F.col("label2")) & _able(percent)).select(F.col("c").alias("a"), F.col("c2").alias("b"))
+        large = mine.where(F.col("size") > small)
+        pivots = cuts.cut(_pivots(large, 2 if level == 0 else 0), f"near-pivots-{level}", narrow=True)
+        members = cuts.cut(large.join(pivots, "band").where("c <> l").select("path", "c", "n", "l", "label", "label_l").distinct(), f"near-members-{level}", narrow=True)
+        pairs = pairs.union(members.where("label <> label_l").select(F.col("c").alias("a"), F.col("l").alias("b")))
+        pairs = (pairs if pending is None else pairs.union(pending)).distinct()
+        label = lambda side, to: of.select(F.col("c").alias(side), F.col("label").alias(to))  # noqa: E731, B023
+        edges = _linked(pairs, sets, percent).join(label("a", "u"), "a").join(label("b", "v"), "b").where("u <> v").select("u", "v")
+        edges = cuts.cut(edges.distinct(), f"near-edges-{level}", narrow=True)
+        if not edges.isEmpty():
+            joined = components(edges, cuts, f"near-stars-{level}").select(F.col("node").alias("label"), F.col("label").alias("to"))
+            of = cuts.cut(of.join(joined, "label", "left").select("c", F.coalesce("to", "label").alias("label")), f"near-labels-{level}", narrow=True)
         # what still has members of more than one component under a pivot
-        members = pairs.join(of, "c")
-        mixed = members.groupBy("path", "l").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("path", "l")
-        members = pairs.join(cuts.cut(mixed, f"near-mixed-{level}"), ["path", "l"])
-        own = cuts.cut(_outside(members.join(own.select("path", "c", "own"), ["path", "c"]), sets), f"near-own-{level}")
-        label_l = of.select(F.col("c").alias("l"), F.col("label").alias("label_l"))
-        near = own.select("path", "c", "n", "l", (F.col("n") - F.col("n_own")).alias("both")).join(of, "c").join(label_l, "l").join(sets.select("c", "h"), "c")
-        pairs = cuts.cut(_inside(near, percent), f"near-inside-{level}")
-        if not pairs.isEmpty():
-            of = _link(_compare(pairs, sets), sizes, of, percent, cuts, f"near-{level}-inside")
-        left = _buckets(own)
+        members = members.select("path", "c", "n", "l").join(label("c", "label"), "c").join(label("l", "label_l"), "l")
+        mixed = members.where("label <> label_l").select("path", "l").distinct()
+        members = cuts.cut(members.join(mixed, ["path", "l"], "left_semi"), f"near-mixed-{level}", narrow=True)
+        if members.isEmpty():
+            break
+        own = cuts.cut(_outside(members.join(own.select("path", "c", "own", "inn"), ["path", "c"]), sets, percent), f"near-own-{level}")
+        pending = _inside(own.join(sets.select("c", "h"), "c"), percent)
         level += 1
-    least = classes.join(of, "c").groupBy("label").agg(F.min("rep").alias("component"))
-    least = cuts.cut(of.join(least, "label").select("c", "component"), "near-components")
-    cuts.keep("near-signed", "near-components")
-    out = signed.withColumn("c", F.when(F.col("n") > 0, F.col("c"))).select("id", "n", "c")
-    empty = out.where("c is null").select("id", "n", F.col("id").alias("component"))
-    out = out.where("c is not null").join(least, "c").select("id", "n", "component").union(empty)
+        left = _by_shingle(own, "own").join(own.select("path", "c", "n"), ["path", "c"]).join(of, "c")
+        mine = cuts.cut(_open(left), f"near-open-{level}", narrow=True)
+    least = of.join(classes.select("c", "rep"), "c").groupBy("label").agg(F.min("rep").alias("component"))
+    final = classes.select("c", "rep", "k").join(of.join(least, "label").select("c", "component"), "c", "left").where("k > 1 or component is not null")
+    final = cuts.cut(final.select("c", F.coalesce("component", "rep").alias("component")), "near-components", narrow=True)
+    cuts.keep("near-renamed" if "near-renamed" in cuts.paths else "near-signed", "near-components")
+    out = signed.select("id", "n", "c").where("n > 0").join(final, "c", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
+    out = out.union(signed.where("n = 0").select("id", "n", F.col("id").alias("component")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
-def _link(seen: DataFrame, sizes: DataFrame, of: DataFrame, percent: int, cuts: Cuts, name: str) -> DataFrame:
-    """The labels after linking those of the compared pairs that are similar enough."""
-    seen = cuts.cut(seen, f"{name}-seen")
-    size = lambda side, n: sizes.select(F.col("c").alias(side), F.col("n").alias(n))
-    links = seen.join(size("a", "n_a"), "a").join(size("b", "n_b"), "b").where(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both")))
-    label = lambda side, to: of.select(F.col("c").alias(side), F.col("label").alias(to))
-    edges = cuts.cut(links.select("a", "b").join(label("a", "u"), "a").join(label("b", "v"), "b").where("u <> v").select("u", "v").distinct(), f"{name}-edges")
-    if not edges.isEmpty():
-        joined = components(edges, cuts, f"{name}-stars").select(F.col("node").alias("label"), F.col("label").alias("to"))
-        of = cuts.cut(of.join(joined, "label", "left").select("c", F.coalesce("to", "label").alias("label")), f"{name}-labels")
-    return of
-
-
 def op8_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)

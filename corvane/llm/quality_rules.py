@@ -154,13 +154,13 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = df.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(source_col).cast("string").alias("_source"), F.col(text_col).alias("_text"))
     rows = text_statistics(rows, "_text")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    rows = cuts.cut(rows.withColumn("base_failed", failed).select("*", *_vector()), "quality-statistics")
+    rows = cuts.cut(rows.withColumn("base_failed", failed).select("*", *_vector()), "quality-statistics", narrow=True)
     name = lambda *c: F.to_json(F.array(*(F.coalesce(F.concat(F.lit("="), x), F.lit("null")) for x in c)))
     sized = rows.where(~F.col("base_failed")).groupBy("_lang", "_source").agg(F.count("*").alias("c"))
     small, of_language = (F.sum(x).over(Window.partitionBy("_lang")) for x in (F.when(F.col("c") < MIN_ROWS, F.col("c")).otherwise(0), F.col("c")))
     fine, language = F.col("c") >= MIN_ROWS, name(F.col("_lang"))
     sized = sized.withColumn("_small", small).withColumn("_own", F.when(fine, name(F.col("_lang"), F.col("_source"))).when(of_language >= MIN_ROWS, language).otherwise("all"))
-    sized = cuts.cut(sized, "quality-sizes")
+    sized = cuts.cut(sized, "quality-sizes", narrow=True)
     left = sized.agg(F.coalesce(F.sum(F.when(F.col("_own") == "all", F.col("c"))), F.lit(0)).alias("_left"))  # one row
     # estimates that lack rows of their own take in those of other groups, which are judged by their own
     lends = lambda to_few, group: F.when(to_few & (F.col("_own") != group), group)
@@ -169,12 +169,12 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sized = sized.crossJoin(F.broadcast(left)).select(F.col("_lang").alias("_l"), F.col("_source").alias("_s"), groups.alias("_groups"))
     good = rows.where(~F.col("base_failed")).join(sized, F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s")))
     good = good.select("_id", F.posexplode("_groups").alias("_lent", "_group"), *STATS, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    good = cuts.cut(good, "quality-groups")
-    est = cuts.cut(_start(good), "quality-start")
+    good = cuts.cut(good, "quality-groups", narrow=True)
+    est = cuts.cut(_start(good), "quality-start", narrow=True)
     for k in range(STEPS):
-        est = cuts.cut(_step(good, est), f"quality-step-{k}")
+        est = cuts.cut(_step(good, est), f"quality-step-{k}", narrow=True)
     enough = good.groupBy("_group").agg(F.count("*").alias("c")).where(F.col("c") >= MIN_ROWS).select("_group")
-    judged = _distance(good.where("_lent = 0"), cuts.cut(est.join(enough, "_group", "left_semi"), "quality-estimates"))
+    judged = _distance(good.where("_lent = 0"), cuts.cut(est.join(enough, "_group", "left_semi"), "quality-estimates", narrow=True))
     columns = [F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = judged.select(*columns, F.coalesce(F.col("_d2") <= cutoff, F.lit(True)).alias("kept"), F.col("_d2").alias("distance"))
     return judged.unionByName(rows.where("base_failed").select(*columns, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance")))

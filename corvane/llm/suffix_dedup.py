@@ -6,23 +6,25 @@ shuffle many times the corpus, so suffixes are sampled in a way that loses none:
 1. Each window of `length` bytes has an anchor: the GRAM bytes in it with the least hash. Equal windows have the same
    anchor at the same place, and neighbouring windows mostly share one, so a text has an anchor every fifty bytes or so. Only
    windows whose anchor occurs twice or more in the corpus can be repeated. Those anchors reach the next scan as a bitmap
-   of fixed size, which can only let too much through.
-2. Windows are taken in blocks of 32 that are aligned to their anchor. The bytes that all windows of a block share are
-   the leading token of its suffix, the bytes that they cover together the rest. Suffixes are range-partitioned by
-   these tokens with sampled splitters, each bucket is sorted by a multikey quicksort that looks at the next token only where
-   tokens tie, and each suffix is compared with its neighbours, across the boundaries of buckets too. If the whole
-   is repeated so is every window; if the leading token is unique no window is.
+   sized by their number, which can only let too much through.
+2. Windows are taken in blocks of 32 that are aligned to their anchor, and the bytes that all windows of a block share are its
+   suffix. Its tokens are its leading 8 bytes as they are, then a hash of all bytes that its windows share, then one of all that they
+   cover together. Suffixes are range-partitioned by these tokens with sampled splitters, each bucket is sorted by a
+   multikey quicksort that looks at the next token only where tokens tie, and each suffix is compared with its
+   neighbours, across the boundaries of buckets too. If the last token is repeated so is every window; if the second is
+   unique no window is. Equal takes 8 bytes and 64 bits of hash at least (128 bits together), 192 for the last.
 3. What lies between (a passage that begins or ends in the block) is taken in blocks of 8, and then window by window.
 
-Splitters include the place of a suffix, so a passage of any number of copies is dealt over as many buckets as it fills.
-A token is the 64-bit polynomial hash of its bytes. Texts are known by two hashes of their bytes (96 bits).
+Texts that occur more than once are looked for first, by 128 bits of hashes; all their windows are repeated, and one row stands for
+all copies in the sort. Splitters include the place of a suffix, so a passage in any number of different texts is dealt over as
+many buckets as it fills.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.common import BATCH_ROWS, Cuts, maybe_in, ship, table, whole
@@ -31,14 +33,19 @@ LENGTH = 200
 GRAM = 96
 LEVELS = (32, 8, 1)
 CHUNK = 1 << 18
-BITS = 1 << 27
+#: A bitmap has BITS_A_HASH bits for each hash in it, up to the most: a quarter of a gigabyte on each executor's Python worker.
+BITS_A_HASH, LEAST_BITS, MOST_BITS = 32, 1 << 20, 1 << 31
 ROWS_A_BUCKET = 400_000
+#: Rows of a bucket that tie, or lie between two pivots, are sorted at once from so many down.
+CUTOFF = 1 << 13
 BASE = 0x9E3779B97F4A7C15 | 1
 _POWER = {1: np.uint64(BASE)}
 for _m in range(1, 12):
     _POWER[1 << _m] = np.uint64(pow(BASE, 1 << _m, 1 << 64))
 _TABLE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-ROW = "lead long, whole long, text long, place long"
+ROW = "head long, lead long, whole long, text long, place long"
+#: Spans of a text with copies: all of it.
+ALL = -1
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -137,7 +144,7 @@ def _has(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def blocks(raw: np.ndarray, bounds: np.ndarray, bitmaps: list[np.ndarray], length: int, gram: int):
-    """For each chunk: of each block with a repeated anchor the text, start, leading token, whole, and whether the whole is
+    """For each chunk: of each block with a repeated anchor the text, start, tokens (head, lead and whole), and whether the whole is
     in the text. The first bitmap is that of anchors; each further one takes those blocks whose leading token it has apart
     into blocks of the next level."""
     for c0, c1, h, lo, t0, t1, a, text in runs(raw, bounds, length, gram):
@@ -162,13 +169,22 @@ def blocks(raw: np.ndarray, bounds: np.ndarray, bitmaps: list[np.ndarray], lengt
             lead = _lead(h, start - lo, number, size, length)
         if not len(start):
             continue
+        head = _head(raw, start + size - 1)
         if size == 1:
-            yield text, start, lead, lead, np.ones(len(start), bool)
+            yield text, start, head, lead, lead, np.ones(len(start), bool)
             continue
         fits = (start >= bounds[text]) & (start + length + size - 1 <= bounds[text + 1])
         full = np.zeros(len(start), np.uint64)
         full[fits] = h.at(start[fits] - lo, length + size - 1)
-        yield text, start, lead, full, fits
+        yield text, start, head, lead, full, fits
+
+
+def _head(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The 8 bytes at each place as one number, in the order of bytes."""
+    out = np.zeros(len(at), np.uint64)
+    for k in range(8):
+        out = (out << np.uint64(8)) | raw[at + k]
+    return (out ^ np.uint64(1 << 63)).view(np.int64)
 
 
 def _lead(h: Hashes, at: np.ndarray, number: np.ndarray, size: int, length: int) -> np.ndarray:
@@ -178,40 +194,43 @@ def _lead(h: Hashes, at: np.ndarray, number: np.ndarray, size: int, length: int)
 
 
 def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
-    """The order of rows by their columns: sorted by the first, and only rows that tie there by the next, and so on."""
-    order = np.argsort(columns[0], kind="stable")
-    same = None
-    for k in range(1, len(columns)):
-        c = columns[k - 1][order]
-        tie = np.r_[False, c[1:] == c[:-1]]
-        same = tie if same is None else tie & same
-        edge = same.copy()
-        edge[:-1] |= same[1:]
-        at = np.flatnonzero(edge)
-        if not len(at):
-            break
-        group = np.cumsum(~same)[at]
-        order[at] = order[at][np.lexsort((columns[k][order[at]], group))]
-    return order
+    """The order of rows by their tokens, column after column, by multikey quicksort: rows are parted by a token of the median of
+    a few into less, equal and more; equal ones go on with their next token, the others with the same one."""
+    out = np.arange(len(columns[0]))
+    todo = [(0, len(out), 0)]
+    while todo:
+        lo, hi, k = todo.pop()
+        rows = out[lo:hi]
+        if hi - lo <= CUTOFF or k == len(columns) - 1:
+            out[lo:hi] = rows[np.lexsort([c[rows] for c in columns[k:][::-1]])]
+            continue
+        token = columns[k][rows]
+        pivot = np.sort(token[:: max(1, len(token) // 63)])[len(token[:: max(1, len(token) // 63)]) // 2]
+        less, same = token < pivot, token == pivot
+        more = ~(less | same)
+        out[lo:hi] = np.concatenate([rows[less], rows[same], rows[more]])
+        a, b = lo + int(less.sum()), hi - int(more.sum())
+        todo += [(lo, a, k), (a, b, k + 1), (b, hi, k)]
+    return out
 
 
 def repeated(rows: DataFrame, cuts: Cuts, name: str) -> DataFrame:
-    """(lead, whole, text, place, lead_twice, whole_twice) of the rows (a written table) whose leading token is repeated."""
+    """(lead, whole, text, place, lead_twice, whole_twice) of the rows (a written table) whose suffix is repeated."""
     spark = rows.sparkSession
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_A_BUCKET))
-    dealt = rows.repartitionByRange(buckets, "lead", "whole", "text", "place").withColumn("bucket", F.spark_partition_id())
+    dealt = rows.repartitionByRange(buckets, "head", "lead", "whole", "text", "place").withColumn("bucket", F.spark_partition_id())
 
     def compare(batches):
         batches = [b for b in batches if b.num_rows]
         if not batches:
             return
         t = pa.Table.from_batches(batches).combine_chunks()
-        c = [t.column(k).to_numpy() for k in range(4)]
+        c = [t.column(k).to_numpy() for k in range(5)]
         order = multikey_order(c)
         c = [x[order] for x in c]
-        bucket = np.full(len(order), t.column(4)[0].as_py(), np.int32)
+        bucket = np.full(len(order), t.column(5)[0].as_py(), np.int32)
         flags = []
-        for k in (1, 2):  # equal in the first k tokens to a neighbour
+        for k in (2, 3):  # equal in the first k tokens to a neighbour
             same = np.ones(len(order) - 1, bool)
             for x in c[:k]:
                 same &= x[1:] == x[:-1]
@@ -222,14 +241,16 @@ def repeated(rows: DataFrame, cuts: Cuts, name: str) -> DataFrame:
         keep = np.flatnonzero(flags[0] | (edge > 0))
         for k in range(0, len(keep), 1 << 16):
             at = keep[k : k + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[at]) for x in c), pa.array(flags[0][at]), pa.array(flags[1][at]), pa.array(edge[at]), pa.array(bucket[at])], names=["lead", "whole", "text", "place", "lead_twice", "whole_twice", "edge", "bucket"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[at]) for x in c), pa.array(flags[0][at]), pa.array(flags[1][at]), pa.array(edge[at]), pa.array(bucket[at])], names=["head", "lead", "whole", "text", "place", "lead_twice", "whole_twice", "edge", "bucket"])
 
     rows_a_batch = spark.conf.get(BATCH_ROWS)
     spark.conf.set(BATCH_ROWS, "16384")  # of these narrow rows
-    out = cuts.cut(dealt.mapInArrow(compare, f"{ROW}, lead_twice boolean, whole_twice boolean, edge byte, bucket int"), name)
-    spark.conf.set(BATCH_ROWS, rows_a_batch)
+    try:
+        out = cuts.cut(dealt.mapInArrow(compare, f"{ROW}, lead_twice boolean, whole_twice boolean, edge byte, bucket int"), name)
+    finally:
+        spark.conf.set(BATCH_ROWS, rows_a_batch)
     # across boundaries: first and last suffix of each bucket, two rows of a bucket at most
-    edges = sorted(((r["bucket"], r["edge"] & 2, r["lead"], r["whole"], r["edge"]) for r in out.where("edge > 0").collect()), key=lambda r: r[:2])
+    edges = sorted(((r["bucket"], r["edge"] & 2, (r["head"], r["lead"]), r["whole"], r["edge"]) for r in out.where("edge > 0").collect()), key=lambda r: r[:2])
     fixed: dict[tuple[int, int], list[bool]] = {}
     for x, y in zip(edges, edges[1:]):
         if x[0] != y[0] and x[2] == y[2]:
@@ -242,8 +263,13 @@ def repeated(rows: DataFrame, cuts: Cuts, name: str) -> DataFrame:
     return out.where("lead_twice").select("lead", "whole", "text", "place", "lead_twice", "whole_twice")
 
 
-def _bitmap(hashes: DataFrame, column: str, bits: int):
-    """A broadcast bitmap of fixed size in which the low bits of each hash are set."""
+def _bits(hashes: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_HASH * hashes).bit_length()))
+
+
+def _bitmap(hashes: DataFrame, column: str, bits: int | None = None):
+    """A broadcast bitmap in which the low bits of each hash (of a written table) are set."""
+    bits = bits or _bits(hashes.count())
     at = F.col(column).bitwiseAND(F.lit(bits - 1)) + 1  # Spark numbers the bits of a bucket from 1 on
     parts = hashes.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map"))
     out = np.zeros(bits // 8, np.uint8)
@@ -252,11 +278,31 @@ def _bitmap(hashes: DataFrame, column: str, bits: int):
     return hashes.sparkSession.sparkContext.broadcast(out)
 
 
-def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, bits: int = BITS) -> DataFrame:
+def _keys(text_col: str) -> list:
+    """Two hashes of a text, 128 bits together."""
+    return [F.xxhash64(text_col).alias("text"), F.xxhash64(F.lit("check"), F.col(text_col)).alias("check")]
+
+
+def _low_half(c: Column) -> Column:
+    return F.shiftright(F.shiftleft(c, 32), 32).cast("int")
+
+
+def _short_keys(text_col: str) -> list:
+    """The keys of repeated_spans: 96 bits of these hashes."""
+    text, check = _keys(text_col)
+    return [text, _low_half(check)]
+
+
+def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, bits: int | None = None) -> DataFrame:
     """(text, check, spans): for each distinct text of df with repeated strings, its hashes and the spans to remove, in
-    bytes, from the first to past the last; they may overlap, and pass the ends of a text that others equal."""
-    ship(df.sparkSession)
-    texts = df.where(F.octet_length(text_col) >= length).select(F.xxhash64(text_col).alias("text"), F.hash(text_col).alias("check"), F.col(text_col).alias("t"))
+    bytes, from the first to past the last. They may overlap. A text with copies has ALL."""
+    spark = ship(df.sparkSession)
+    texts = df.where(F.octet_length(text_col) >= length).select(*_keys(text_col), F.col(text_col).alias("t"))
+    copied = cuts.cut(texts.groupBy("text", "check").count().where("count > 1").select("text", "check"), "suffix-copied", narrow=True)
+    if not copied.isEmpty():  # one row for each text with copies; only rows that may be such are shuffled
+        rows = maybe_in(texts, "text", copied.select("text"))
+        once = rows.where("_maybe").select("text", "check", "t").dropDuplicates(["text", "check"])
+        texts = rows.where("not _maybe").select("text", "check", "t").union(cuts.cut(once, "suffix-once"))
 
     def anchors(batches):
         for b in batches:
@@ -264,7 +310,7 @@ def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: in
                 yield pa.RecordBatch.from_arrays([pa.array(h.at(a - lo, gram).view(np.int64))], names=["h"])
 
     twice = texts.select("t").mapInArrow(anchors, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    bitmaps = [_bitmap(cuts.cut(twice, "suffix-anchors"), "h", bits)]
+    bitmaps = [_bitmap(cuts.cut(twice, "suffix-anchors", narrow=True), "h", bits)]
     cuts.drop("suffix-anchors")
     spans = None
     for level, size in enumerate(LEVELS):
@@ -273,13 +319,13 @@ def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: in
             known = [x.value for x in bitmaps]
             for b in batches:
                 raw, bounds = _buffer(b.column(2))
-                k1, k2 = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64)
-                for text, start, lead, full, fits in blocks(raw, bounds, known, length, gram):
+                k1, k2 = b.column(0).to_numpy(), b.column(1).to_numpy()
+                for text, start, head, lead, full, fits in blocks(raw, bounds, known, length, gram):
                     if not fits.all():  # a whole that is not in the text is equal to none
                         alone = np.flatnonzero(~fits)
                         full[alone] = _mix(_mix(k1[text[alone]].view(np.uint64)) + (start[alone] - bounds[text[alone]]).astype(np.uint64) * np.uint64(BASE))
-                    place = (k2[text] << 32) | (start - bounds[text] + LEVELS[0])
-                    yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64)), pa.array(full.view(np.int64)), pa.array(k1[text]), pa.array(place)], names=["lead", "whole", "text", "place"])
+                    place = (k2[text] << 32) | (start - bounds[text] + LEVELS[0])  # half of the second hash; the other half is looked up with the text
+                    yield pa.RecordBatch.from_arrays([pa.array(head), pa.array(lead.view(np.int64)), pa.array(full.view(np.int64)), pa.array(k1[text]), pa.array(place)], names=["head", "lead", "whole", "text", "place"])
 
         name = f"suffix-level-{level}"
         # after the first level, texts without a repeated block need not be looked at again
@@ -292,16 +338,20 @@ def repeated_spans(df: DataFrame, cuts: Cuts, text_col: str = "text", length: in
         done = done.select("text", "check", (F.shiftright("a", 6) * len(LEVELS) + level).alias("word"), F.expr("shiftleft(1L, cast(a & 63 as int))").alias("bit"))
         spans = done if spans is None else spans.union(done)
         if size > 1:
-            bitmaps.append(_bitmap(found.where("not whole_twice"), "lead", bits // 4))
+            bitmaps.append(_bitmap(found.where("not whole_twice"), "lead", bits))
     # places become bits before they meet: those of one text are few words then, and those of its copies the same
     words = spans.groupBy("text", "check", "word").agg(F.bit_or("bit").alias("bits"))
-    return words.groupBy("text", "check").agg(F.flatten(F.collect_list(F.array("word", "bits"))).alias("spans"))
+    found = words.groupBy("text", "check").agg(F.flatten(F.collect_list(F.array("word", "bits"))).alias("spans"))
+    copied = copied.select("text", _low_half(F.col("check")).alias("check"), F.array(F.lit(ALL).cast("long")).alias("spans"))
+    return found.join(copied, ["text", "check"], "left_anti").union(copied)
 
 
 def merged(spans: np.ndarray, size: int, length: int = LENGTH) -> np.ndarray:
     """What spans (of repeated_spans) cover of a text of `size` bytes, as rows (first byte, past the last), in order and apart."""
     if not len(spans):
         return np.zeros((0, 2), np.int64)
+    if spans[0] == ALL:
+        return np.array([[0, size]])
     word, bits = spans[0::2], np.ascontiguousarray(spans[1::2])
     row, bit = np.nonzero(np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
     a = (word[row] // len(LEVELS)) * 64 + bit
@@ -326,7 +376,7 @@ def cut_out(raw: bytes, spans: np.ndarray) -> bytes:
     return b"".join([*out, raw[at:]])
 
 
-def without_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, bits: int = BITS) -> DataFrame:
+def without_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, bits: int | None = None) -> DataFrame:
     """df without the text: its UTF-8 bytes in `raw`, spans to remove (for merged()) as array<bigint> in `spans` (empty where there are none).
 
     Every byte covered by a string of `length` bytes that also starts anywhere else is in a span: in any row, or
@@ -335,10 +385,10 @@ def without_repeats(df: DataFrame, text_col: str = "text", length: int = LENGTH,
     there must be one. An empty table gives an empty result.
     """
     spark, cuts = df.sparkSession, Cuts(df.sparkSession)
-    spans = cuts.cut(repeated_spans(df, cuts, text_col, length, gram, bits), "suffix-spans")
+    spans = cuts.cut(repeated_spans(df, cuts, text_col, length, gram, bits), "suffix-spans", narrow=True)
     cuts.keep("suffix-spans")
     others = [c for c in df.columns if c != text_col]
-    row = df.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"), F.xxhash64(text_col).alias("_text"), F.hash(text_col).alias("_check"), F.encode(whole(F.col(text_col)), "UTF-8").alias("raw"))
+    row = df.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"), *(k.alias(f"_{n}") for k, n in zip(_short_keys(text_col), ("text", "check"))), F.encode(whole(F.col(text_col)), "UTF-8").alias("raw"))
     row = maybe_in(row, "_text", spans.select(F.col("text").alias("_text")))
     no_spans = F.array().cast("array<bigint>").alias("spans")
     # only rows that may have spans are shuffled, to meet them

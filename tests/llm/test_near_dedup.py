@@ -82,9 +82,60 @@ def test_components(spark):
 def test_inside_is_what_arithmetic_allows(spark):
     """Pairs of one path are asked for exactly where the bound allows the similarity."""
     rng = random.Random(4)
-    members = [(1, c, n, rng.randrange(n // 2, n + 1), c % 5, 0, [n]) for c, n in ((c, rng.randrange(5, 60)) for c in range(80))]
-    df = spark.createDataFrame(members, "path long, c long, n long, both long, label long, label_l long, h array<int>")
-    got = {(r["a"], r["b"]) for r in N._inside(df, 80).collect()}
+    members = [(1, c, n, rng.randrange(n // 2, n + 1), c % 5, 0, [n], b"") for c, n in ((c, rng.randrange(5, 60)) for c in range(80))]
+    df = spark.createDataFrame(members, "path long, c long, n long, both long, label long, label_l long, h array<int>, first binary")
+    got = {(r["a"], r["b"]) for r in N._inside(df, 80, few=1000).collect()}
     for x, y in combinations(members, 2):
         able = x[4] != y[4] and min(x[3], y[3]) >= 0.8 / 1.8 * (x[2] + y[2]) - 1e-6 and 100 * min(x[2], y[2]) >= 80 * max(x[2], y[2])
         assert ((max(x[1], y[1]), min(x[1], y[1])) in got) == able, (x, y)
+
+
+def excerpts(spark, many):
+    """Sets inside one much larger pivot: every window of 40 of its shingles at steps of 5, each a component of its own."""
+    pivot = np.sort(N._mix(np.arange(5 * many + 60, dtype=np.uint64)))
+    order = np.random.default_rng(1).permutation(len(pivot))
+    sets = {k: np.sort(pivot[order[5 * k : 5 * k + 40]]) for k in range(many)}
+    h = lambda x: np.bincount((x & np.uint64(N.PARTS - 1)).astype(int), minlength=N.PARTS).tolist()
+    full = spark.createDataFrame([(k, x.tobytes(), h(x)) for k, x in {**sets, -1: pivot}.items()], "c long, s binary, h array<int>")
+    members = spark.createDataFrame([(0, k, 40, -1, k, -1, x.tobytes(), b"") for k, x in sets.items()], "path long, c long, n long, l long, label long, label_l long, own binary, inn binary")
+    return sets, full, N._outside(members, full, 80).join(full.select("c", "h"), "c")
+
+
+def test_inside_finds_all_similar_excerpts(spark):
+    sets, _, members = excerpts(spark, 100)
+    want = {(max(a, b), min(a, b)) for a, b in combinations(sets, 2) if 100 * len(set(sets[a]) & set(sets[b])) >= 75 * len(set(sets[a]) | set(sets[b]))}
+    got = {(r["a"], r["b"]) for r in N._inside(members, 75).collect()}
+    assert want and want <= got and got == got & {(max(a, b), min(a, b)) for a, b in combinations(sets, 2) if abs(a - b) < 8}
+
+
+def test_pairs_inside_a_pivot_grow_with_the_members(spark):
+    counts = [N._inside(excerpts(spark, n)[2], 80).count() for n in (100, 200, 400)]
+    assert counts[2] < 2.3 * counts[1] < 5 * counts[0] + 50
+
+
+def test_excerpts_of_one_long_text(docs):
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(900)]
+    rows = [(0, " ".join(words))] + [(k, " ".join(words[4 * k : 4 * k + 80])) for k in range(1, 200)]
+    assert run(docs(rows)) == brute(rows, 5, 80)
+
+
+def test_recall_at_lower_similarities():
+    """Share of pairs that meet in a band, at the least similarity of each setting."""
+    rng = np.random.default_rng(5)
+    for percent in (50, 60, 70, 80, 85, 90):
+        rows, met = N.rows_of(percent), 0
+        for _ in range(60):
+            x = np.unique(rng.integers(0, 1 << 63, 600, dtype=np.uint64))
+            both = int(len(x) * 2 * percent / (100 + percent))
+            y = np.unique(np.concatenate([x[:both], rng.integers(0, 1 << 63, len(x) - both, dtype=np.uint64)]))
+            met += bool((N.signature(np.sort(N._mix(x)), rows) == N.signature(np.sort(N._mix(y)), rows)).any())
+        assert met >= 58, (percent, met)
+    with pytest.raises(ValueError):
+        N.rows_of(30)
+
+
+def test_sets_that_share_one_hash_are_kept_apart(spark):
+    signed = [(1, 1, 5, 7, 1, [1]), (2, 2, 5, 7, 2, [2]), (3, 3, 5, 9, 3, [3])]
+    got = N._classes(spark.createDataFrame(signed, "id long, row long, n long, c long, d long, bands array<long>")).collect()
+    assert {(r["c"], r["k"], r["d"] != r["d_hi"]) for r in got} == {(7, 2, True), (9, 1, False)}

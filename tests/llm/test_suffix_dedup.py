@@ -51,7 +51,7 @@ def texts():
     return out
 
 
-@pytest.mark.parametrize("bits", [1 << 20, 1 << 17])
+@pytest.mark.parametrize("bits", [None, 1 << 20, 1 << 15])
 def test_every_repeated_byte_and_no_other(docs, bits):
     rows = list(enumerate(texts()))
     want = brute([t for _, t in rows], 200)
@@ -66,20 +66,50 @@ def test_chunks(docs, monkeypatch):
     rows = [t for t in texts() if t]
     raw, bounds = S._buffer(pa.array(rows))
     all_ = np.full(1 << 10, 255, np.uint8)
-    small = sorted((int(t), int(s), int(x)) for text, start, lead, _, _ in S.blocks(raw, bounds, [all_, all_, all_], 200, 96) for t, s, x in zip(text, start, lead))
+    small = sorted((int(t), int(s), int(x)) for text, start, _, lead, _, _ in S.blocks(raw, bounds, [all_, all_, all_], 200, 96) for t, s, x in zip(text, start, lead))
     monkeypatch.setattr(S, "CHUNK", 1 << 18)
-    large = sorted((int(t), int(s), int(x)) for text, start, lead, _, _ in S.blocks(raw, bounds, [all_, all_, all_], 200, 96) for t, s, x in zip(text, start, lead))
+    large = sorted((int(t), int(s), int(x)) for text, start, _, lead, _, _ in S.blocks(raw, bounds, [all_, all_, all_], 200, 96) for t, s, x in zip(text, start, lead))
     assert small == large
     windows = [(k, int(bounds[k]) + i) for k, t in enumerate(rows) for i in range(len(t.encode()) - 199)]
     assert [(t, s) for t, s, _ in large] == windows
 
 
-def test_multikey_order():
+@pytest.mark.parametrize("cutoff", [1, 16, 1 << 13])
+def test_multikey_order(monkeypatch, cutoff):
+    monkeypatch.setattr(S, "CUTOFF", cutoff)
     rng = np.random.default_rng(0)
-    cols = [rng.integers(0, 5, 1000) for _ in range(4)]
-    order = S.multikey_order(cols)
-    rows = list(zip(*(c[order] for c in cols)))
-    assert rows == sorted(rows)
+    for high in (1, 5, 10**6):
+        cols = [rng.integers(-high, high, 3000) for _ in range(5)]
+        order = S.multikey_order(cols)
+        rows = list(zip(*(c[order].tolist() for c in cols)))
+        assert rows == sorted(rows) and sorted(order.tolist()) == list(range(3000))
+    assert S.multikey_order([np.zeros(0, np.int64)] * 5).tolist() == []
+
+
+def test_heads_are_in_the_order_of_bytes():
+    raw = np.frombuffer("zz aaé b".encode() + bytes([0, 127, 128, 255]) * 9, np.uint8)
+    at = np.arange(len(raw) - 8)
+    heads = S._head(raw, at)
+    assert [i for _, i in sorted((int(h), int(i)) for h, i in zip(heads, at))] == sorted(at.tolist(), key=lambda i: (raw[i : i + 8].tobytes(), i))
+
+
+def test_copies_of_one_text_are_one_row_in_the_sort(spark, docs):
+    """However many copies a text has, its suffixes stand once; a text that holds it loses that part, and its own text stays."""
+    from corvane.llm.common import Cuts
+
+    copy = " ".join(str(i * i) for i in range(200))
+    rows = [(i, copy) for i in range(3000)] + [(5000, "own words before it " + copy + " and after")]
+    seen = []
+    was, S.repeated = S.repeated, lambda rows, *a: seen.append(rows.count()) or was(rows, *a)
+    try:
+        spans = S.repeated_spans(docs(rows), Cuts(spark))
+        assert spans.count() == 2
+    finally:
+        S.repeated = was
+    assert max(seen) < 3 * len(copy)
+    got = run(docs(rows))
+    want = brute([copy, copy, rows[-1][1]], 200)
+    assert got[5000] == [want[2]] and got[0] == [want[0]] == got[2999]
 
 
 def test_empty_table_repeated_rows_and_long_text(docs):
