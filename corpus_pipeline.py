@@ -34,7 +34,7 @@ def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents in a language that can be told; those without a letter go."""
     train = docs.where(~held_out()).select(_key(), "text", "lang")
     found = language_id(docs.select(_key(), "text"), train=train, id_col="_key")
-    return _without(docs, Cuts(spark).cut(found.where(F.col("lang_pred") == UNKNOWN).select("_key"), "pipeline-no-language"))
+    return _without(docs, Cuts(spark).cut(found.where(F.col("lang_pred") == UNKNOWN).select("_key"), "pipeline-no-language", narrow=True))
 
 
 def _order() -> Column:
@@ -45,9 +45,9 @@ def _order() -> Column:
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id, once."""
     cuts = Cuts(spark)
-    found = cuts.cut(exact_duplicates(docs.select(_order(), "text"), id_col="order").select(F.col("order.k").alias("_key"), "kept"), "pipeline-exact")
+    found = cuts.cut(exact_duplicates(docs.select(_order(), "text"), id_col="order").select(F.col("order.k").alias("_key"), "kept"), "pipeline-exact", narrow=True)
     out = _without(docs, found.where("not kept").select("_key"))
-    again = cuts.cut(found.where("kept").groupBy("_key").count().where("count > 1").select("_key"), "pipeline-repeated")
+    again = cuts.cut(found.where("kept").groupBy("_key").count().where("count > 1").select("_key"), "pipeline-repeated", narrow=True)
     if again.isEmpty():
         return out
     # rows that repeat an id and its text
@@ -58,7 +58,7 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that five-word shingles link at a similarity of 0.8 or more: that with the smallest id."""
     found = near_duplicates(docs.select(_order(), "text"), id_col="order")
-    return _without(docs, Cuts(spark).cut(found.where("not kept").select(F.col("order.k").alias("_key")), "pipeline-near"))
+    return _without(docs, Cuts(spark).cut(found.where("not kept").select(F.col("order.k").alias("_key")), "pipeline-near", narrow=True))
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
