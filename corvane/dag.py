@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import agreement as A
 from corvane.functions import pause as P
+from corvane.functions.models import RESOURCES
 from corvane.operators import gates as G
 from corvane.operators.discover import decide_due, discover
 from corvane.sources.catalog import Catalog
@@ -35,6 +36,12 @@ def _agreement_due(c: Catalog) -> DataFrame:
     return counts.join(old, "id", "left").where("there is null or (model_count is not null and n > model_count and not coalesce(text_verified, false))").select("id")
 
 
+def _agreement(c: Catalog, due: DataFrame) -> DataFrame:
+    """Models count as RESOURCES['asr_models'] knows them (a name in results to its key), or all under their own names where it knows none."""
+    known = RESOURCES["asr_models"]
+    return A.agreement_rows(c.read("asr_results").join(due.select("id"), "id", "left_semi"), models=known or None)
+
+
 def _text_due(c: Catalog) -> DataFrame:
     rows = c.read("asr_agreement").join(c.read("segments").select("id", "duration_sec", "sample_rate"), "id")
     return discover(rows, c.read("filters_text").withColumn("provenance", F.lit("filter_text")), stale=("model_count", "asr_model_count"))
@@ -67,7 +74,7 @@ def _pause(c: Catalog, due: DataFrame) -> DataFrame:
 
 
 NODES: dict[str, Node] = {
-    "asr.agreement": Node("asr_agreement", ("asr_results",), _agreement_due, lambda c, due: A.agreement_rows(c.read("asr_results").join(due.select("id"), "id", "left_semi"))),
+    "asr.agreement": Node("asr_agreement", ("asr_results",), _agreement_due, _agreement),
     "filter.text": Node("filters_text", ("asr_agreement", "segments"), _text_due, lambda c, due: G.filter_text(due)),
     "filter.decide": Node("filters", ("filters_text", "filters_acoustic", "labels_lang"), lambda c: decide_due(c.read("filters_text"), c.read("filters_acoustic"), c.read("filters"), c.read("labels_lang")), _decide),
     "tier.assign": Node("tiers", ("asr_agreement", "filters"), _tier_due, lambda c, due: due.select("id", G.tier().alias("tier"), F.lit("tier_assign").alias("provenance"), F.col("model_count").alias("asr_model_count"))),
@@ -76,12 +83,21 @@ NODES: dict[str, Node] = {
 }
 
 
+def in_chain() -> dict[str, Node]:
+    """The nodes of a chain: all but those run by hand and those whose model is not registered."""
+    from corvane import nodes
+    from corvane.functions.models import MODELS
+
+    return {n: x for n, x in NODES.items() if n not in nodes.BY_HAND and (n not in nodes.MODEL_NODES or n in MODELS)}
+
+
 def rounds(nodes: dict[str, Node] | None = None) -> list[list[str]]:
-    """Nodes in an order in which each comes after all that write what it reads."""
-    nodes = dict(nodes or NODES)
+    """Nodes in an order in which each comes after all that write what it reads; those that write one table come one after another."""
+    nodes = dict(nodes or in_chain())
     out = []
     while nodes:
-        ready = sorted(n for n, x in nodes.items() if not any(y.writes in x.reads for m, y in nodes.items() if m != n))
+        ready = sorted(n for n, x in nodes.items() if not any(y.writes in x.reads and not (x.writes == y.writes) for m, y in nodes.items() if m != n))
+        ready = [n for k, n in enumerate(ready) if nodes[n].writes not in [nodes[m].writes for m in ready[:k]]]
         if not ready:
             raise ValueError(f"nodes wait for each other: {sorted(nodes)}")
         out.append(ready)
@@ -100,12 +116,21 @@ def run_node(catalog: Catalog, name: str, limit: int | None = None) -> dict:
     try:
         n = catalog.upsert(node.writes, made)
         if n:
-            catalog.journal(run_id, name, made.select("id"))
+            catalog.journal(run_id, name, items(catalog, name, made))
+    except Exception as error:
+        due = due.select(next(c for c in ("id", "raw_id", "audio_path", "source") if c in due.columns))
+        catalog.journal(run_id, name, due, status="error", error=f"{type(error).__name__}: {error}"[:2000])
+        raise
     finally:
         made.unpersist()
     return {"node": name, "run_id": run_id, "rows": n}
 
 
+def items(catalog: Catalog, name: str, made: DataFrame) -> DataFrame:
+    """The item of each computed row: the first key of the node's table."""
+    return made.select(catalog.tables[NODES[name].writes].keys[0])
+
+
 def run_many(catalog: Catalog, names: list[str]) -> list[dict]:
     """Runs nodes that write different tables at the same time; the journal is written by one at a time."""
     written = [NODES[n].writes for n in names]
@@ -127,7 +152,7 @@ def run_many(catalog: Catalog, names: list[str]) -> list[dict]:
                 failed = failed or error
                 continue
             if f.result():
-                catalog.journal(runs[n], n, made[n].select("id"))
+                catalog.journal(runs[n], n, items(catalog, n, made[n]))
             out.append({"node": n, "run_id": runs[n], "rows": f.result()})
     finally:
         for m in made.values():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -42,12 +43,15 @@ def english_ratio(text: Column) -> Column:
 def language_features(df, text_col: str):
     """df with the counts that the Mandarin ratio and the language rest on, each computed once."""
     t = nothing(F.col(text_col))
+    any_of = lambda words: t.rlike("|".join(map(re.escape, words)))
     clean = reduce(lambda c, w: F.replace(c, F.lit(w), F.lit("")), L.NEUTRAL_WORDS, t)
-    total = lambda words: reduce(lambda a, b: a + b, (count_word(t, w) for w in words))
-    present = reduce(lambda a, b: a + b, (F.when(F.contains(t, F.lit(w)), len(w)).otherwise(0) for w in L.MANDARIN_WORDS))
+    # most texts have none of a list's words: one search tells, and the passes for each word are for the others
+    total = lambda words: F.when(any_of(words), reduce(lambda a, b: a + b, (count_word(t, w) for w in words))).otherwise(F.lit(0).cast("long"))
+    present = F.when(any_of(L.MANDARIN_WORDS), reduce(lambda a, b: a + b, (F.when(F.contains(t, F.lit(w)), len(w)).otherwise(0) for w in L.MANDARIN_WORDS))).otherwise(0)
+    mando = F.when(any_of(L.NEUTRAL_WORDS), count_class(clean, L.MANDARIN_CHARS)).otherwise(count_class(t, L.MANDARIN_CHARS))
     df = df.withColumns(
         {
-            "f_cjk": cjk_count(t), "f_eng": english_ratio(t), "f_simplified": count_class(t, L.SIMPLIFIED_CHARS), "f_mando": count_class(clean, L.MANDARIN_CHARS),
+            "f_cjk": cjk_count(t), "f_eng": english_ratio(t), "f_simplified": count_class(t, L.SIMPLIFIED_CHARS), "f_mando": mando,
             "f_canto": count_class(t, L.CANTONESE_CHARS), "f_mando_words": total(L.MANDARIN_WORDS), "f_canto_words": total(L.CANTONESE_WORDS), "f_present": present.cast("long"),
         }
     )
@@ -143,3 +147,15 @@ def short_hash(text: Column, size: int) -> Column:
 
 def shard_index(key: Column, shards: int) -> Column:
     return F.conv(short_hash(key, 8), 16, 10).cast("long") % shards
+
+
+def traditional(text: Column, characters: dict[str, str], phrases: dict[str, str] | None = None) -> Column:
+    """A text in traditional characters: phrases first, the longest before shorter ones, then single characters. Empty and null texts stay.
+
+    Natively; the tables are parameters."""
+    out = text
+    for a in sorted(phrases or {}, key=lambda p: (-len(p), p)):
+        out = F.replace(out, F.lit(a), F.lit(phrases[a]))
+    if characters:
+        out = F.translate(out, "".join(characters), "".join(characters.values()))
+    return F.when(F.coalesce(text, F.lit("")) != "", out).otherwise(text)

@@ -52,6 +52,21 @@ def entries(rows: DataFrame) -> DataFrame:
     )
 
 
+def full_entries(rows: DataFrame) -> DataFrame:
+    """entries() with the rest of an export line: where the clip is from, style, date, the readings with foreign words, what each model said,
+    and, of rows with a pause plan, the text with pause tokens and how many marks have which verdict. rows are those of jobs.manifest_rows."""
+    from corvane.functions.pause import text_pause
+
+    text = filled("best_text", "")
+    more = rows.select(
+        "id", filled("source_url", "").alias("source_url"), filled("program", "").alias("program"), filled("style", "formal").alias("style"), F.round(F.coalesce("english_ratio", F.lit(0.0)), 3).alias("english_ratio"),
+        F.coalesce(F.col("created_at"), F.current_date()).cast("string").alias("created_at"), filled("jyutping_cs", "").alias("jyutping_cs"), F.coalesce("asr_candidates", F.array().cast("array<struct<model:string,text:string,confidence:double>>")).alias("asr_candidates"),
+        F.when(F.col("pause").isNotNull(), text_pause(text, F.col("pause.plan"))).alias("text_pause"),
+        F.when(F.col("pause").isNotNull(), F.struct(*(F.coalesce(f"pause.{k}", F.lit(0)).alias(k) for k in ("n_punct", "n_no_pause", "n_short", "n_long")))).alias("punct_audit"),
+    )
+    return entries(rows).join(more, "id")
+
+
 def split(rows: DataFrame, train: DataFrame | None = None, val: DataFrame | None = None, share: float = SPEAKER_SHARE) -> DataFrame:
     """rows (id, source, speaker_id) with `split`. Ids that a side has stay there (train first). Of the rest, the speakers of a
     source stand in order of their first id, and the last of them, one at least, go to val."""

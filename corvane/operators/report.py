@@ -53,6 +53,11 @@ def breakdown(rows: DataFrame, by: list[str]) -> DataFrame:
     return out.join(F.broadcast(total)).withColumn("share", F.col("n") / F.col("_all")).drop("_all")  # one row
 
 
-def markdown(title: str, checks: DataFrame) -> str:
-    lines = [f"- [{'PASS' if r['passed'] else 'FAIL'}] {r['label']}: {r['value']:g} ({r['threshold']:g})" for r in checks.collect()]
-    return "\n".join([f"# {title}", *lines])
+def markdown(title: str, checks, tables: dict | None = None) -> str:
+    """The checks (rows of acceptance(), or a frame of them), and a table for each breakdown."""
+    checks = checks.collect() if isinstance(checks, DataFrame) else checks
+    shown = lambda v: "none" if v is None else f"{v:g}"
+    lines = [f"# {title}", *(f"- [{'PASS' if r['passed'] else 'FAIL'}] {r['label']}: {shown(r['value'])} ({r['threshold']:g})" for r in checks)]
+    for by, rows in (tables or {}).items():
+        lines += ["", f"## By {by}", "", f"| {by} | segments | hours | share |", "|-|-|-|-|", *(f"| {r[by] if r[by] is not None else ''} | {r['n']} | {r['hours']:.2f} | {100 * r['share']:.1f} % |" for r in rows)]
+    return "\n".join(lines)

@@ -27,9 +27,29 @@ def gaps(rows: DataFrame, key: str, least: float = 0.2) -> DataFrame:
     return rows.withColumn("gap", F.lead("start_sec").over(w) - F.col("end_sec")).where(F.col("gap") >= least)
 
 
-def inside(windows: DataFrame, turns: DataFrame, slack: Column) -> DataFrame:
-    """Windows (aliased w) that lie in turns (aliased t) of their file, give or take `slack` at the end."""
-    return turns.join(windows, (F.col("t.raw_id") == F.col("w.raw_id")) & (F.col("w.start_sec") >= F.col("t.start_sec")) & (F.col("w.end_sec") <= F.col("t.end_sec") + slack))
+def inside(windows: DataFrame, turns: DataFrame, slack: Column, bin_sec: float = 60.0) -> DataFrame:
+    """Windows (aliased w) that lie in turns (aliased t) of their file, give or take `slack` at the end. Windows meet the turns that reach into
+    the bin of time in which they start, so a long file costs its overlaps and not its square."""
+    at = lambda c: F.floor(c / bin_sec)
+    turns = turns.withColumn("_bin", F.explode(F.sequence(at(F.col("t.start_sec")), F.greatest(at(F.col("t.start_sec")), at(F.col("t.end_sec") + slack)))))
+    windows = windows.withColumn("_wbin", at(F.col("w.start_sec")))
+    on = (F.col("t.raw_id") == F.col("w.raw_id")) & (F.col("_bin") == F.col("_wbin")) & (F.col("w.start_sec") >= F.col("t.start_sec")) & (F.col("w.end_sec") <= F.col("t.end_sec") + slack)
+    return turns.join(windows, on).drop("_bin", "_wbin")
+
+
+def overlaps_a_later(turns: DataFrame, slack: float = 0.15) -> DataFrame:
+    """turns (raw_id, turn_idx, start_sec, end_sec) with `hit`: whether a turn with a greater index comes within `slack` of it."""
+    w = Window.partitionBy("raw_id").orderBy("turn_idx").rowsBetween(1, Window.unboundedFollowing)
+    first, last = F.min("start_sec").over(w), F.max("end_sec").over(w)
+    # the least start and the greatest end of later turns rule most out; what they leave is looked at turn by turn
+    rows = turns.withColumn("_may", F.coalesce((first <= F.col("end_sec") + slack) & (last >= F.col("start_sec") - slack), F.lit(False)))
+    bins = lambda a, b: F.explode(F.sequence(F.floor(a / 60.0), F.floor(b / 60.0)))
+    ask = rows.where("_may").select("raw_id", "turn_idx", (F.col("start_sec") - slack).alias("_from"), (F.col("end_sec") + slack).alias("_to"))
+    ask = ask.withColumn("_bin", bins(F.col("_from"), F.col("_to")))
+    have = turns.select("raw_id", F.col("turn_idx").alias("_other"), F.col("start_sec").alias("_start"), F.col("end_sec").alias("_end"), bins(F.col("start_sec"), F.greatest("start_sec", "end_sec")).alias("_bin"))
+    met = (ask["raw_id"] == have["raw_id"]) & (ask["_bin"] == have["_bin"]) & (F.col("_other") > F.col("turn_idx")) & (F.col("_start") <= F.col("_to")) & (F.col("_end") >= F.col("_from"))
+    hit = ask.join(have, met, "left_semi").select("raw_id", "turn_idx").distinct().withColumn("hit", F.lit(True))
+    return rows.drop("_may").join(hit, ["raw_id", "turn_idx"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
 
 
 def cut_clips(turns: DataFrame, least: float = 3.0, most: float = 20.0) -> DataFrame:

@@ -58,3 +58,9 @@ def active_entries(rows: DataFrame) -> DataFrame:
     """Source entries that are not done, skipped or paused, with a real address."""
     off = F.col("status").isin("skip", "done", "paused") | (F.col("priority") == "skip") | F.col("url").rlike("^(PLACEHOLDER|SKIP|SEARCH)")
     return rows.where(~F.coalesce(off, F.lit(False)))
+
+
+def fan_out(rows: DataFrame, parts: dict[str, list]) -> DataFrame:
+    """rows once for each condition of each part that holds, with `part` and `nth`: one scan for all tables that a row makes rows of."""
+    each = [F.when(when, F.struct(F.lit(name).alias("part"), F.lit(k).alias("nth"))) for name, conditions in parts.items() for k, when in enumerate(conditions)]
+    return rows.select("*", F.inline(F.filter(F.array(*each), lambda x: x.isNotNull())))

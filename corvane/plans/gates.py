@@ -31,7 +31,9 @@ def decided_rows(spark, d):
 
 
 def tier_rows(spark, d):
-    rows = fx(spark, d, "fx_agreement").join(decided_rows(spark, d).select("id", "dnsmos"), "id", "left")
+    """Tiers need of the decisions only which ids have one, and their scores: the text gate itself is not run for them."""
+    known = fx(spark, d, "fx_segments").select("id").join(acoustic_rows(spark, d).select("id", F.col("dnsmos_sig").alias("dnsmos")), "id")
+    rows = fx(spark, d, "fx_agreement").join(known, "id", "left")
     return rows.select("id", G.tier().alias("tier"), F.col("model_count").alias("asr_model_count"))
 
 
@@ -97,8 +99,9 @@ FLAGSHIP = "select s.source, t.tier, coalesce(f.fail_reason, 'eligible') decisio
 
 def flagship(spark, d):
     """Segments and hours by source, tier, and what the gates decided: eligible for training, or why not."""
-    decided = decided_rows(spark, d).select("id", F.coalesce("fail_reason", F.lit("eligible")).alias("decision"))
-    rows = fx(spark, d, "fx_segments").select("id", "source", "duration_sec").join(decided, "id").join(tier_rows(spark, d).select("id", "tier"), "id")
+    decided = decided_rows(spark, d).select("id", "dnsmos", F.coalesce("fail_reason", F.lit("eligible")).alias("decision"))
+    rows = fx(spark, d, "fx_segments").select("id", "source", "duration_sec").join(decided, "id").join(fx(spark, d, "fx_agreement").select("id", "agreement", "text_verified"), "id")
+    rows = rows.select("source", "duration_sec", "decision", G.tier().alias("tier"))
     return rows.groupBy("source", "tier", "decision").agg(F.count("*").alias("segments"), (F.sum("duration_sec") / 3600).alias("hours"))
 
 

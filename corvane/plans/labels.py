@@ -39,13 +39,13 @@ def bucket_pitch(spark, d):
     return p.join(B.pitch_stats(p).where("speaker_id is not null"), "speaker_id").select("id", B.bucket_pitch(B.pitch_z(F.col("f0_median_hz"), F.col("mu"), F.col("sigma"))).alias("pitch"))
 
 
-@query("rate_raw", with_fx("select g.id, case when s.duration_sec > 0 and n > 0 and coalesce(e, 0) <= 0.5 then n / s.duration_sec end > 1 fast from (select id, len(list_filter(string_split_regex(jyutping, '\\s+'), lambda x: regexp_full_match(x, '[a-z]+[1-6]'))) n from fx_g2p) g join (select *, case when num % 3 = 0 then 0.7 else 0.1 end e from fx_segments) s on g.id = s.id"))
+@query("rate_raw", with_fx("select g.id, case when s.duration_sec > 0 and n > 0 and coalesce(e, 0) <= 0.5 then round(n / s.duration_sec, 3) end rate_raw from (select id, len(list_filter(string_split_regex(jyutping, '\\s+'), lambda x: regexp_full_match(x, '[a-z]+[1-6]'))) n from fx_g2p) g join (select *, case when num % 3 = 0 then 0.7 else 0.1 end e from fx_segments) s on g.id = s.id"))
 def rate_raw(spark, d):
     from corvane.functions.text import count_syllables
 
     rows = fx(spark, d, "fx_g2p").join(fx(spark, d, "fx_segments"), "id")
     e = F.when(F.col("num") % 3 == 0, 0.7).otherwise(0.1)
-    return rows.select("id", (B.rate_raw(count_syllables(F.col("jyutping")), F.col("duration_sec"), e) > 1).alias("fast"))
+    return rows.select("id", B.rate_raw(count_syllables(F.col("jyutping")), F.col("duration_sec"), e).alias("rate_raw"))
 
 
 STORE = "select s.id, l.lang, l.cmn_prob, o.overlap_ratio, m.music_prob from fx_segments s left join fx_labels_lang l on s.id = l.id left join fx_labels_overlap o on s.id = o.id left join fx_labels_music m on s.id = m.id"
@@ -78,12 +78,13 @@ def age_days(spark, d):
 
 @query("f0_median", with_fx("select speaker_id, median(f0_median_hz) f0 from fx_prosody where f0_median_hz > 90 group by speaker_id"))
 def f0_median(spark, d):
-    return fx(spark, d, "fx_prosody").where("f0_median_hz > 90").groupBy("speaker_id").agg(F.percentile("f0_median_hz", 0.5).alias("f0"))
+    return B.quantiles(fx(spark, d, "fx_prosody").where("f0_median_hz > 90"), ["speaker_id"], "f0_median_hz", {"f0": 0.5})
 
 
-@query("window_starts", with_fx("select raw_id, page_id, duration_sec, cast(case when duration_sec <= 0 then 0 when duration_sec * 0.9 <= 25 then 1 when duration_sec * 0.9 >= 50 then 10 else greatest(1, cast(floor(duration_sec * 0.9 / 25) as int)) end as bigint) n from fx_raw_files"))
+@query("window_starts", with_fx("select raw_id, page_id, duration_sec, cast(case when duration_sec <= 0 then 0 when duration_sec * 0.9 <= 25 then 1 when duration_sec * 0.9 >= 50 then 10 else greatest(1, cast(floor(duration_sec * 0.9 / 25) as int)) end as bigint) n, case when duration_sec <= 0 then null when duration_sec * 0.9 <= 25 then round(greatest(0, (duration_sec - 25) / 2), 2) else round(greatest(duration_sec * 0.05, least(duration_sec * 0.95 - 25, duration_sec * 0.05 + 0.5 / (case when duration_sec * 0.9 >= 50 then 10 else 1 end) * duration_sec * 0.9 - 12.5)), 2) end as first_start from fx_raw_files"))
 def window_starts(spark, d):
-    return fx(spark, d, "fx_raw_files").select("raw_id", "page_id", "duration_sec", F.size(S.window_starts(F.col("duration_sec"))).cast("long").alias("n"))
+    starts = S.window_starts(F.col("duration_sec"))
+    return fx(spark, d, "fx_raw_files").select("raw_id", "page_id", "duration_sec", F.size(starts).cast("long").alias("n"), F.get(starts, F.lit(0)).alias("first_start"))
 
 
 @query("vad_gaps", with_fx("select raw_id, turn_idx, next_ - end_sec gap from (select *, lead(start_sec) over (partition by raw_id order by start_sec, turn_idx) next_ from (select raw_id, turn_idx, start_sec + turn_idx % 3 start_sec, end_sec from fx_turns)) where next_ - end_sec >= 0.2"))
@@ -110,10 +111,7 @@ def turns_explode(spark, d):
 
 @query("gap_overlap", with_fx("select raw_id, turn_idx, exists (select 1 from fx_turns b where a.raw_id = b.raw_id and b.turn_idx > a.turn_idx and b.start_sec <= a.end_sec + 0.15 and b.end_sec >= a.start_sec - 0.15) hit from fx_turns a"))
 def gap_overlap(spark, d):
-    t = fx(spark, d, "fx_turns")
-    other = t.groupBy("raw_id").agg(F.collect_list(F.struct("turn_idx", "start_sec", "end_sec")).alias("all"))
-    hit = F.exists("all", lambda x: (x["turn_idx"] > F.col("turn_idx")) & (x["start_sec"] <= F.col("end_sec") + 0.15) & (x["end_sec"] >= F.col("start_sec") - 0.15))
-    return t.join(other, "raw_id").select("raw_id", "turn_idx", hit.alias("hit"))
+    return S.overlaps_a_later(fx(spark, d, "fx_turns")).select("raw_id", "turn_idx", "hit")
 
 
 @query("pause_total", with_fx("select raw_id, round(sum(end_sec - start_sec), 3) total from fx_turns group by raw_id"))
@@ -124,8 +122,9 @@ def pause_total(spark, d):
 
 @query("pause_distribution", "select event_type, quantile_cont(value, 0.25) p25, median(value) p50, quantile_cont(value, 0.75) p75, avg(case when value < 16 then 1e0 else 0 end) no_pause from events group by event_type")
 def pause_distribution(spark, d):
-    p = lambda q: F.percentile("value", q)
-    return load(spark, d, "events").groupBy("event_type").agg(p(0.25).alias("p25"), p(0.5).alias("p50"), p(0.75).alias("p75"), F.avg(F.when(F.col("value") < 16, 1.0).otherwise(0.0)).alias("no_pause"))
+    events = load(spark, d, "events")
+    share = events.groupBy("event_type").agg(F.avg(F.when(F.col("value") < 16, 1.0).otherwise(0.0)).alias("no_pause"))
+    return B.quantiles(events, ["event_type"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).join(share, "event_type")
 
 
 @query("overlap_ratio", with_fx("select conv_id, avg(case when n >= 2 then 1e0 else 0 end) overlap, avg(case when n >= 1 then 1e0 else 0 end) speech from (select conv_id, turn, (length(text) % 3 > 0)::int + (length(text) % 5 > 2)::int n from conversations) group by conv_id"))
@@ -134,12 +133,12 @@ def overlap_ratio(spark, d):
     return S.overlap(load(spark, d, "conversations").select(F.col("conv_id"), n.alias("active")), "conv_id")
 
 
-TAGS = "['Music', 'Piano', 'Speech', 'Bird vocalization, bird call, bird song', 'Speech synthesizer', 'Wind instrument, woodwind instrument', 'Engine']"
+TAGS = ["Music", "Piano", "Speech", "Bird vocalization, bird call, bird song", "Speech synthesizer", "Wind instrument, woodwind instrument", "Engine"]
 
 
 @query("music_taxonomy", f"select t tag from (select unnest({TAGS}) t) where regexp_matches(lower(t), '" + "|".join(w.replace("(", "\\(").replace(")", "\\)") for w in L.MUSIC_WORDS) + "') and t not in ('Speech synthesizer', 'Bird vocalization, bird call, bird song')")
 def music_taxonomy(spark, d):
-    tags = spark.createDataFrame([(t,) for t in eval(TAGS)], "tag string")
+    tags = spark.createDataFrame([(t,) for t in TAGS], "tag string")
     return tags.where(S.is_music(F.col("tag")))
 
 
@@ -170,8 +169,8 @@ def snr_frames(spark, d):
 
 @query("snr_pregate", "select user_id, round(10 * log10((quantile_cont(value, 0.9) + 1e-10) / (quantile_cont(value, 0.1) + 1e-10)), 2) snr from events group by user_id")
 def snr_pregate(spark, d):
-    p = F.percentile("value", F.array(F.lit(0.9), F.lit(0.1)))
-    return load(spark, d, "events").groupBy("user_id").agg(p.alias("p")).select("user_id", F.round(10 * F.log10((F.get("p", F.lit(0)) + 1e-10) / (F.get("p", F.lit(1)) + 1e-10)), 2).alias("snr"))
+    q = B.quantiles(load(spark, d, "events"), ["user_id"], "value", {"high": 0.9, "low": 0.1})
+    return q.select("user_id", F.round(10 * F.log10((F.col("high") + 1e-10) / (F.col("low") + 1e-10)), 2).alias("snr"))
 
 
 @query("cosine_sim", "select a.vec_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) sim from embeddings a join embeddings b on b.vec_id = a.vec_id + 1")

@@ -60,9 +60,15 @@ def manifest_entry(spark, d):
     return M.entries(rows(spark, d))
 
 
-@query("export_jsonl")
+@query("export_jsonl", with_fx(f"{ENTRIES}", **ALL))
 def export_jsonl(spark, d):
-    return M.entries(rows(spark, d)).select("id", F.to_json(F.struct("*")).alias("line")).orderBy("id")
+    """The export's lines, written and read again."""
+    from corvane.sources.files import read_jsonl, write_jsonl
+    from corvane.streaming.staging import folder
+
+    made, at = M.entries(rows(spark, d)), folder(spark)
+    write_jsonl(made, at)
+    return read_jsonl(spark, at, made.schema)
 
 
 @query("tier_counts", with_fx("select tier, count(*) n, sum(duration_sec) / 3600 as hours, count(distinct speaker_id) speakers from mm group by tier", **ALL))
@@ -88,9 +94,10 @@ def split_val(spark, d):
     return M.split(fx(spark, d, "fx_segments")).where("split = 'val'").select("source", "speaker_id").distinct()
 
 
-@query("split_leak_check", with_fx("select source, speaker_id from fx_segments where false"))
+@query("split_leak_check", with_fx("select source, speaker_id from sp join fx_segments s using (id, source) where split = 'train' intersect select source, speaker_id from sp join fx_segments s using (id, source) where split = 'val'", sp=SPLIT))
 def split_leak_check(spark, d):
-    s = M.split(fx(spark, d, "fx_segments"))
+    """Speakers on both sides: where ids that a side had before hold them there."""
+    s = split_rows(spark, d)
     side = lambda k: s.where(F.col("split") == k).select("source", "speaker_id")
     return side("train").intersect(side("val"))
 
@@ -137,7 +144,7 @@ def calib_sample(spark, d):
     return V.sample_queue(fx(spark, d, "fx_agreement"), fx(spark, d, "fx_review"), 25, "agreement_asc").select("id", "agreement")
 
 
-@query("sample_random")
+@query("sample_random", with_fx("select id from fx_agreement where id not in (select id from fx_review) order by md5(id || '/0'), id limit 25"))
 def sample_random(spark, d):
     return V.sample_queue(fx(spark, d, "fx_agreement"), fx(spark, d, "fx_review"), 25).select("id")
 

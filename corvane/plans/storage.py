@@ -6,9 +6,19 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corvane.operators import storage as S
+from corvane.operators.review import drawn
 from corvane.plans.fixtures import fx, load, with_fx
 from corvane.plans.registry import query
-from corvane.sources.catalog import dedup_last, upsert
+from corvane.sources.catalog import TABLES, Catalog, dedup_last, upsert
+from corvane.sources.files import read_jsonl, write_jsonl
+from corvane.streaming.staging import folder
+
+
+def _catalog(spark, *tables: str) -> Catalog:
+    """An empty catalog of these tables in the shared folder."""
+    c = Catalog(spark, folder(spark), {t: TABLES[t] for t in tables})
+    c.ensure()
+    return c
 
 
 @query("upsert_merge", "select o_orderkey k, o_totalprice price from orders where o_orderkey % 3 <> 0 union all select o_orderkey, 1e0 from orders where o_orderkey % 3 = 0")
@@ -46,7 +56,12 @@ def remap_model_key(spark, d):
 
 @query("journal_append", with_fx("select run_id, node, status, count(*) n from fx_task_runs group by all"))
 def journal_append(spark, d):
-    return fx(spark, d, "fx_task_runs").groupBy("run_id", "node", "status").agg(F.count("*").alias("n"))
+    """The journal of a catalog after a run of each status has been appended to it."""
+    c = _catalog(spark, "task_runs")
+    rows = fx(spark, d, "fx_task_runs")
+    for status in ("ok", "error", "skipped"):
+        c.append("task_runs", rows.where(F.col("status") == status))
+    return c.read("task_runs").groupBy("run_id", "node", "status").agg(F.count("*").alias("n"))
 
 
 @query("run_summary", with_fx("select run_id, count(*) filter (where status = 'ok') ok, count(*) filter (where status = 'error') failed, string_agg(distinct node, ',' order by node) nodes from fx_task_runs group by run_id"))
@@ -96,8 +111,8 @@ def rss_select(spark, d):
 @query("manifest_fanout", "select 'documents' part, count(*) n from documents union all select 'labels', count(*) from documents where lang is not null union all select 'candidates', 2 * count(*) from documents")
 def manifest_fanout(spark, d):
     docs = load(spark, d, "documents")
-    row = docs.select(F.explode(F.array(F.lit("documents"), F.when(F.col("lang").isNotNull(), "labels"), F.lit("candidates"), F.lit("candidates"))).alias("part"))
-    return row.where("part is not null").groupBy("part").agg(F.count("*").alias("n"))
+    made = S.fan_out(docs, {"documents": [F.lit(True)], "labels": [F.col("lang").isNotNull()], "candidates": [F.lit(True), F.lit(True)]})
+    return made.groupBy("part").agg(F.count("*").alias("n"))
 
 
 @query("explode_candidates", with_fx("select id, model, text from fx_asr_results"))
@@ -121,20 +136,27 @@ def staging_commit(spark, d):
     return commit_staged(spark, e, keys=["id"])
 
 
-@query("json_scan")
+@query("json_scan", "select doc_id, lang, md5(text) text_md5 from documents")
 def json_scan(spark, d):
-    line = F.to_json(F.struct("doc_id", "lang"))
-    return load(spark, d, "documents").select(line.alias("line")).select(F.from_json("line", "doc_id bigint, lang string").alias("r")).select("r.*")
+    """Files of JSON lines, written and scanned."""
+    at = folder(spark)
+    write_jsonl(load(spark, d, "documents").select("doc_id", "lang", "text"), at, "doc_id")
+    return read_jsonl(spark, at, "doc_id bigint, lang string, text string").select("doc_id", "lang", F.md5("text").alias("text_md5"))
 
 
 @query("scan_catalog", "select o_orderkey id, cast(o_custkey as varchar) owner from orders")
 def scan_catalog(spark, d):
-    return load(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("string").alias("owner"))
+    """A table of a catalog, in a version with buckets and an appended part."""
+    c = _catalog(spark, "verified")
+    rows = load(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("verified_by"))
+    c.overwrite("verified", rows.where("cast(id as bigint) % 5 <> 0"), buckets=4)
+    c.append("verified", rows.where("cast(id as bigint) % 5 = 0"))
+    return c.read("verified").select(F.col("id").cast("long").alias("id"), F.col("verified_by").alias("owner"))
 
 
-@query("sample_rows")
+@query("sample_rows", "select doc_id, lang from documents order by md5(doc_id || '/7'), doc_id limit 50")
 def sample_rows(spark, d):
-    return load(spark, d, "documents").select("doc_id", "lang").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(50)
+    return load(spark, d, "documents").select("doc_id", "lang").orderBy(drawn("doc_id", 7), "doc_id").limit(50)
 
 
 @query("row_counts", "select 'documents' t, count(*) n from documents union all select 'labels', count(*) from labels union all select 'events', count(*) from events")
@@ -143,7 +165,10 @@ def row_counts(spark, d):
     return one("documents").union(one("labels")).union(one("events"))
 
 
-@query("verify_floors", "select 'labels' t, (select count(*) from labels) <= (select count(*) from documents) ok, (select count(*) - count(distinct doc_id) from labels) repeats")
+@query("verify_floors", "select 'segments: ' || n || ' rows repeat a key' what from (select count(*) - count(distinct user_id) n from events) union all select 'tiers: more rows than segments' from (select count(*) n from documents) where n > (select count(*) from events) union all select 'tiers: ' || n || ' rows, 1000000 expected at least' from (select count(*) n from documents)")
 def verify_floors(spark, d):
-    n, m = load(spark, d, "documents").agg(F.count("*").alias("n")), load(spark, d, "labels").agg(F.count("*").alias("m"), F.count_distinct("doc_id").alias("k"))
-    return n.join(F.broadcast(m)).select(F.lit("labels").alias("t"), (F.col("m") <= F.col("n")).alias("ok"), (F.col("m") - F.col("k")).alias("repeats"))  # one row each
+    """What a catalog's check finds in tables with repeated keys and too few rows."""
+    c = _catalog(spark, "segments", "tiers")
+    c.overwrite("segments", load(spark, d, "events").select(F.concat(F.lit("s"), "user_id").alias("id")))
+    c.overwrite("tiers", load(spark, d, "documents").select(F.concat(F.lit("s"), "doc_id").alias("id"), F.lit("gold").alias("tier")))
+    return spark.createDataFrame([(x,) for x in c.verify({"tiers": 1_000_000})], "what string")

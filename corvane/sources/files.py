@@ -43,9 +43,12 @@ def export_manifest(entries: DataFrame, path: str, train: DataFrame | None = Non
 def write_constants(one: DataFrame, path: str, version: str) -> dict:
     """A one-row frame of constants as a JSON file."""
     out = {"version": version, **one.first().asDict(recursive=True)}
-    spark = one.sparkSession
+    write_text(one.sparkSession, path, json.dumps(out, ensure_ascii=False, sort_keys=True))
+    return out
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     f = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
-    f.write(bytearray(json.dumps(out, ensure_ascii=False, sort_keys=True).encode()))
+    f.write(bytearray(text.encode()))
     f.close()
-    return out

@@ -11,13 +11,48 @@ from corvane.sources.catalog import Catalog, dedup_last
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder in spark.checkpoint.dir, or in a temporary one of this machine where that is unset, as in tests."""
+    """A new folder in spark.checkpoint.dir, or in a temporary one where that is unset and all runs on this machine, as in tests."""
     import tempfile
 
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or tempfile.gettempdir()
+    sc = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not at:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is unset: executors need a folder that all of them see")
+        at = tempfile.gettempdir()
     return f"{at.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
+def _at(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _at(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _at(spark, path)
+    fs.delete(p, False)
+
+
+def drain_while(spark: SparkSession, staging: str, schema: StructType, catalog: Catalog, name: str, checkpoint: str, alive, seq: str | None = None, seconds: float = 5.0) -> int:
+    """Drains what arrives every so many seconds while `alive()` says that something upstream still writes, and once more after. Returns the
+    number of drains."""
+    import time
+
+    n = 0
+    while True:
+        last = not alive()
+        drain(spark, staging, schema, catalog, name, checkpoint, seq).awaitTermination()
+        n += 1
+        if last:
+            return n
+        time.sleep(seconds)
+
+
 def drain(spark: SparkSession, staging: str, schema: StructType, catalog: Catalog, name: str, checkpoint: str, seq: str | None = None, seconds: int | None = None):
     """Commits what is in `staging` (JSON lines) to a table: all that is there, or every so many seconds until stopped.
 
