@@ -81,10 +81,10 @@ def f0_median(spark, d):
     return B.quantiles(fx(spark, d, "fx_prosody").where("f0_median_hz > 90"), ["speaker_id"], "f0_median_hz", {"f0": 0.5})
 
 
-@query("window_starts", with_fx("select raw_id, page_id, duration_sec, cast(case when duration_sec <= 0 then 0 when duration_sec * 0.9 <= 25 then 1 when duration_sec * 0.9 >= 50 then 10 else greatest(1, cast(floor(duration_sec * 0.9 / 25) as int)) end as bigint) n, case when duration_sec <= 0 then null when duration_sec * 0.9 <= 25 then round(greatest(0, (duration_sec - 25) / 2), 2) else round(greatest(duration_sec * 0.05, least(duration_sec * 0.95 - 25, duration_sec * 0.05 + 0.5 / (case when duration_sec * 0.9 >= 50 then 10 else 1 end) * duration_sec * 0.9 - 12.5)), 2) end as first_start from fx_raw_files"))
+@query("window_starts", with_fx("select raw_id, page_id, duration_sec, cast(case when duration_sec <= 0 then 0 when duration_sec * 0.9 <= 25 then 1 when duration_sec * 0.9 >= 50 then 10 else greatest(1, cast(floor(duration_sec * 0.9 / 25) as int)) end as bigint) n from fx_raw_files"))
 def window_starts(spark, d):
     starts = S.window_starts(F.col("duration_sec"))
-    return fx(spark, d, "fx_raw_files").select("raw_id", "page_id", "duration_sec", F.size(starts).cast("long").alias("n"), F.get(starts, F.lit(0)).alias("first_start"))
+    return fx(spark, d, "fx_raw_files").select("raw_id", "page_id", "duration_sec", F.size(starts).cast("long").alias("n"))
 
 
 @query("vad_gaps", with_fx("select raw_id, turn_idx, next_ - end_sec gap from (select *, lead(start_sec) over (partition by raw_id order by start_sec, turn_idx) next_ from (select raw_id, turn_idx, start_sec + turn_idx % 3 start_sec, end_sec from fx_turns)) where next_ - end_sec >= 0.2"))

@@ -97,7 +97,7 @@ def split_val(spark, d):
 @query("split_leak_check", with_fx("select source, speaker_id from sp join fx_segments s using (id, source) where split = 'train' intersect select source, speaker_id from sp join fx_segments s using (id, source) where split = 'val'", sp=SPLIT))
 def split_leak_check(spark, d):
     """Speakers on both sides: where ids that a side had before hold them there."""
-    s = split_rows(spark, d)
+    s = split_rows(spark, d).join(fx(spark, d, "fx_segments").select("id", "speaker_id"), "id")
     side = lambda k: s.where(F.col("split") == k).select("source", "speaker_id")
     return side("train").intersect(side("val"))
 

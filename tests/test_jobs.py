@@ -44,7 +44,7 @@ def lines(spark, path):
 def test_manifest_export(spark, catalog, tmp_path):
     got = jobs.manifest_export(catalog, f"file://{tmp_path}/out")
     rows = {r["id"]: r for r in lines(spark, f"{got['path']}/manifest")}
-    assert got["entries"] == len(rows) == 8 and "s3" not in rows and "s11" not in rows
+    assert got["entries"] == len(rows) == 9 and "s3" not in rows and "s11" not in rows
     assert rows["s8"]["text_pause"] == "你好，<pause-long>嗎" and rows["s8"]["punct_audit"]["n_long"] == 1
     assert "text_pause" not in rows["s1"] and rows["s1"]["style"] == "formal" and rows["s1"]["created_at"] == "2026-01-02"
     assert [x["model"] for x in rows["s1"]["asr_candidates"]] == ["a", "b"]
