@@ -11,8 +11,8 @@ that then still holds more than one component, two members can be similar in two
   those are treated in the same way (with a member as pivot, and what is outside all pivots so far), level after level,
   until no bucket of several components is left;
 - they share shingles of the pivots only, so no more than the smaller of the two numbers that each has of these. Members that are
-  not of the pivot's component are compared with those that this allows: by size where they are FEW, else with those that
-  share one of the shingles of the pivots that come first in each (a pair that is similar must).
+  not of the pivot's component are compared with those that this allows: of a fitting size, and sharing one of the shingles of the
+  pivots that come first in each (a pair that is similar must).
 
 A bucket of at most SMALL members has its pairs of two components compared at once. So no pair of a bucket is passed over, and none of a large one is
 compared that need not be. A level compares all its pairs in one pass. Only counts come to the driver.
@@ -37,8 +37,6 @@ BANDS = 32
 SMALL, SMALL_LATER = 8, 64
 #: Counts of a set's shingles by parts of their hashes bound how many two sets share.
 PARTS = 64
-#: Under a pivot with so many members outside its component, each of these looks at all members of its size.
-FEW = 64
 CACHE_WORDS = 300_000
 _words: dict[bytes, int] = {}
 _ALL = (1 << 64) - 1
@@ -154,11 +152,11 @@ def _outside(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 own.append(x[~hit].tobytes())
                 i = np.sort(np.concatenate([i, x[hit]]))
                 inn.append(i.tobytes())
-                first.append(i[: max(0, len(i) + (-percent * n) // 100 + 1)].tobytes())
+                first.append(i[: max(0, len(i) + (-percent * n) // 100 + 1)].view(np.int64))
             path = _mix(_mix(b.column(0).to_numpy().view(np.uint64)) + b.column(3).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), *(b.column(k) for k in range(1, 6)), pa.array([len(i) // 8 for i in inn], pa.int64()), *(pa.array(k, pa.binary()) for k in (own, inn, first))], names=["path", "c", "n", "l", "label", "label_l", "both", "own", "inn", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), *(b.column(k) for k in range(1, 6)), pa.array([len(i) // 8 for i in inn], pa.int64()), pa.array(own, pa.binary()), pa.array(inn, pa.binary()), pa.array(first, pa.list_(pa.int64()))], names=["path", "c", "n", "l", "label", "label_l", "both", "own", "inn", "first"])
 
-    return x.select("path", "c", "n", "l", "label", "label_l", "own", "inn", "s_l").mapInArrow(run, "path long, c long, n long, l long, label long, label_l long, both long, own binary, inn binary, first binary")
+    return x.select("path", "c", "n", "l", "label", "label_l", "own", "inn", "s_l").mapInArrow(run, "path long, c long, n long, l long, label long, label_l long, both long, own binary, inn binary, first array<long>")
 
 
 def _by_shingle(members: DataFrame, of: str) -> DataFrame:
@@ -187,31 +185,24 @@ def _able(percent: int):
     return fits & ((100 + percent) * both >= percent * (F.col("n") + F.col("n2")))
 
 
-def _inside(members: DataFrame, percent: int, few: int = FEW) -> DataFrame:
+def _inside(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one path and two components that could be similar by shingles of its pivots only.
 
     `both` is how many of its shingles are in pivots. With x shingles in both, similarity asks for percent / (100 + percent)
-    of n + n2, and x is at most the smaller `both`. A member outside its pivot's component asks. Where up to `few` do, they meet all
-    members by size, in bins of about three per cent; where more do, by each shingle of their `first`.
+    of n + n2, and x is at most the smaller `both`. A member outside its pivot's component meets members by size, in bins of about three
+    per cent; a pair is made of two only if they share one of the shingles in `first`.
     """
     share = percent / (100 + percent)
     bin_of = lambda c: F.floor(F.log(c.cast("double")) * 33)
     most = F.floor(F.col("both") / share - F.col("n") + 1e-6)
     least = F.ceil(F.col("n") * percent / 100 - 1e-6)
-    asks = F.col("label") != F.col("label_l")
-    many = members.groupBy("path").agg(F.count(F.when(asks, 1)).alias("asking")).where(F.col("asking") > few).select("path", F.lit(True).alias("many"))
-    able = members.where(F.col("both") >= F.ceil(share * (F.col("n") + F.col("n") * percent / 100) - 1e-6)).join(many, "path", "left")
-    ask = able.where(asks & (most >= least))
-    other = lambda df, *keys: df.select("path", *keys, F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("both").alias("both2"), F.col("label").alias("label2"), F.col("h").alias("h2"))
-    mine = ["path", "c", "n", "both", "label", "h"]
-    by_size = ask.where("many is null").select(*mine, F.explode(F.sequence(bin_of(F.greatest(least, F.lit(1))), bin_of(F.greatest(most, F.lit(1))))).alias("bin"))
-    by_size = by_size.join(other(able.where("many is null").withColumn("bin", bin_of(F.col("n"))), "bin"), ["path", "bin"])
-    first = able.where("many")
-    bands = _by_shingle(first, "first")
-    by_first = ask.where("many").select(*mine).join(bands, ["path", "c"]).join(other(first.select(*mine).join(bands, ["path", "c"]), "band"), ["path", "band"])
+    able = members.where(F.col("both") >= F.ceil(share * (F.col("n") + F.col("n") * percent / 100) - 1e-6))
+    ask = able.where((F.col("label") != F.col("label_l")) & (most >= least))
+    ask = ask.select("path", "c", "n", "both", "label", "h", "first", F.explode(F.sequence(bin_of(F.greatest(least, F.lit(1))), bin_of(F.greatest(most, F.lit(1))))).alias("bin"))
+    have = able.select("path", bin_of(F.col("n")).alias("bin"), *(F.col(k).alias(f"{k}2") for k in ("c", "n", "both", "label", "h", "first")))
     enough = (F.col("label") != F.col("label2")) & (F.least("both", "both2") >= share * (F.col("n") + F.col("n2")) - 1e-6) & _able(percent)
-    pairs = [df.where(enough).select(F.greatest("c", "c2").alias("a"), F.least("c", "c2").alias("b")) for df in (by_size, by_first)]
-    return pairs[0].union(pairs[1]).distinct()
+    pairs = ask.join(have, ["path", "bin"]).where(enough & F.arrays_overlap("first", "first2"))
+    return pairs.select(F.greatest("c", "c2").alias("a"), F.least("c", "c2").alias("b")).distinct()
 
 
 def _open(buckets: DataFrame) -> DataFrame:

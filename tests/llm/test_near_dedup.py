@@ -82,9 +82,9 @@ def test_components(spark):
 def test_inside_is_what_arithmetic_allows(spark):
     """Pairs of one path are asked for exactly where the bound allows the similarity."""
     rng = random.Random(4)
-    members = [(1, c, n, rng.randrange(n // 2, n + 1), c % 5, 0, [n], b"") for c, n in ((c, rng.randrange(5, 60)) for c in range(80))]
-    df = spark.createDataFrame(members, "path long, c long, n long, both long, label long, label_l long, h array<int>, first binary")
-    got = {(r["a"], r["b"]) for r in N._inside(df, 80, few=1000).collect()}
+    members = [(1, c, n, rng.randrange(n // 2, n + 1), c % 5, 0, [n], [1]) for c, n in ((c, rng.randrange(5, 60)) for c in range(80))]
+    df = spark.createDataFrame(members, "path long, c long, n long, both long, label long, label_l long, h array<int>, first array<long>")
+    got = {(r["a"], r["b"]) for r in N._inside(df, 80).collect()}
     for x, y in combinations(members, 2):
         able = x[4] != y[4] and min(x[3], y[3]) >= 0.8 / 1.8 * (x[2] + y[2]) - 1e-6 and 100 * min(x[2], y[2]) >= 80 * max(x[2], y[2])
         assert ((max(x[1], y[1]), min(x[1], y[1])) in got) == able, (x, y)
