@@ -21,7 +21,7 @@ def plain(v):
     return float(v) if hasattr(v, "as_tuple") else v
 
 
-@pytest.mark.parametrize("name", ["pause_plan", "pause_summary", "text_pause"])
+@pytest.mark.parametrize("name", ["pause_plan", "pause_summary", "text_pause", "pause_preview"])
 def test_pause_query(spark, odd_texts, name):
     df = registry.QUERIES[name](spark, odd_texts)
     con = duckdb.connect()
