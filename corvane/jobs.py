@@ -39,7 +39,7 @@ def report_build(c: Catalog, out: str, min_tier: str = "bronze") -> dict:
     rows = manifest_rows(c, min_tier=min_tier).persist()
     try:
         one = R.summary(rows)
-        of = lambda column, name: R.percentiles(rows, [], column, {name: 50})
+        of = lambda column, name: R.percentiles(rows.where(F.col(column).isNotNull()), [], column, {name: 50})
         bad = rows.agg(F.count(F.when(F.coalesce("audio_path", F.lit("")) == "", 1)).cast("double").alias("bad_paths"))
         one = one.crossJoin(of("dnsmos", "dnsmos_p50")).crossJoin(of("snr_db", "snr_p50")).crossJoin(R.valid_rate(rows).withColumnRenamed("rate", "jyutping_valid_rate")).crossJoin(bad)  # one row each
         checks = R.acceptance(one, tuple(R.ACCEPT)).collect()
