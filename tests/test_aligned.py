@@ -24,7 +24,7 @@ def test_plan_aligned(spark, monkeypatch, kind, most):
     assert sum(len(r["p"]["plan"]) for r in got) > 20
 
 
-@pytest.mark.parametrize("name", ["pause_summary", "pause_plan", "text_pause"])
+@pytest.mark.parametrize("name", ["pause_summary", "pause_plan", "text_pause", "pause_preview"])
 def test_no_column_of_characters(spark, sf_dir, name):
     """The aligned characters of whole texts are in no plan as a column."""
     assert "start_sec" not in registry.QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
