@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pytest
 
 from corvane.functions import agreement as A
+from corvane.plans import registry
 
 SIGNS = ["ab", "abcdefgh ", "etaoin shrdlu cmfw" * 3 + "0123456789éüß中文字,.", "".join(chr(0x4E00 + i) for i in range(300))]
 
@@ -42,3 +43,15 @@ def test_ratio_of_a_long_text():
     begin = time.monotonic()
     assert got == SequenceMatcher(None, a, b).ratio()
     assert took < (time.monotonic() - begin) / 4
+
+
+def test_agreement_row_of_long_texts(spark, tmp_path):
+    """Eight texts of some 200,000 characters, with a "th" in every sixty or so, which a result has otherwise."""
+    pick = random.Random(4)
+    words = ["".join(pick.choices("aeoinsrldcu", k=pick.randrange(2, 9))) for _ in range(400)] + ["quiz", "jinx"]
+    docs = [(i, " ".join(pick.choices([*words, "the"], [1] * 402 + [45], k=34_000)), "en", "s", 0) for i in (2, 3, 5, 6, 7, 10, 13, 14)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    begin = time.monotonic()
+    rows = registry.QUERIES["agreement_row"](spark, str(tmp_path)).collect()
+    assert len(rows) == 8 and all(0 < r["agreement"] < 1 for r in rows)
+    assert time.monotonic() - begin < 40
